@@ -13,6 +13,7 @@ from .keys import (
     is_long_hash_key,
 )
 from .names import entry_text_id, extension, full_path
+from .once import once
 from .times import ctime_text, positive_timestamp
 
 __all__ = [
@@ -30,6 +31,7 @@ __all__ = [
     "hash_key_image",
     "hash_key_length",
     "is_long_hash_key",
+    "once",
     "positive_timestamp",
     "resident_content",
 ]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import full_path
+from ..functions import full_path, once
 from ..sources.patterns import Pattern, pattern_frame
 
 # Fixed value: characters of context on each side of a hit.
@@ -73,28 +73,30 @@ def grep_hits(texts: DataFrame, patterns: list[Pattern], text: str = "text") ->
     """
     out = texts.where(F.length(text) > 0)
     base = out.columns
-    valid = [p for p in patterns if p.valid]
-    out = out.select(
-        "*", *[F.regexp_extract_all(text, F.lit(p.kw), F.lit(0)).alias(f"_m{p.a}") for p in valid]
-    )
-    # A match of no characters at the very start gives no leading part.
-    cut = {p.a: F.split(text, p.kw, -1) for p in valid}
-    out = out.select("*", *[F.when(F.size(f"_m{p.a}") > 0, cut[p.a]).alias(f"_c{p.a}") for p in valid])
-    out = out.select(
-        *[c for c in out.columns if not c.startswith("_c")],
-        *[
-            F.when(F.size(f"_c{p.a}") == F.size(f"_m{p.a}"), F.concat(F.array(F.lit("")), F.col(f"_c{p.a}")))
-            .otherwise(F.col(f"_c{p.a}"))
-            .alias(f"_c{p.a}")
-            for p in valid
-        ],
-    )
     none = F.array().cast(f"array<{HIT}>")
+    valid = [p for p in patterns if p.valid]
+    if not valid:
+        return out.withColumn("hits", none)
+
+    def each(value) -> Column:
+        return F.struct(*[value(p).alias(f"p{p.a}") for p in valid])
+
+    def matches(p: Pattern) -> Column:
+        return F.col(f"_m.p{p.a}")
+
+    def parts(p: Pattern) -> Column:
+        # A match of no characters at the very start gives no leading part.
+        cut = F.col(f"_c.p{p.a}")
+        return F.when(F.size(cut) == F.size(matches(p)), F.concat(F.array(F.lit("")), cut)).otherwise(cut)
+
+    out = once(out, "_m", each(lambda p: F.regexp_extract_all(text, F.lit(p.kw), F.lit(0))))
+    out = once(out, "_c", each(lambda p: F.when(F.size(matches(p)) > 0, F.split(text, p.kw, -1))))
+    out = once(out, "_q", each(lambda p: F.when(F.size(matches(p)) > 0, parts(p))))
     hits = [
-        F.when(F.size(f"_m{p.a}") > 0, _hits_of(p, F.col(f"_m{p.a}"), F.col(f"_c{p.a}"))).otherwise(none)
+        F.when(F.size(matches(p)) > 0, _hits_of(p, matches(p), F.col(f"_q.p{p.a}"))).otherwise(none)
         for p in valid
     ]
-    return out.select(*base, (F.concat(*hits) if hits else none).cast(f"array<{HIT}>").alias("hits"))
+    return once(out, "hits", F.concat(*hits).cast(f"array<{HIT}>")).select(*base, "hits")
 
 
 def grep_counts(texts: DataFrame, patterns: list[Pattern], text: str = "text") -> DataFrame:

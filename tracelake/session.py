@@ -28,7 +28,9 @@ def build_session(app_name: str = "tracelake", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,9 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster whose workers do not have it installed."""
+    """Send this package to the executors: their Python workers need not have it installed."""
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_tracelake_shipped", False):
+    if getattr(sc, "_tracelake_shipped", False):
         return
     package = pathlib.Path(__file__).parent
     archive = pathlib.Path(tempfile.mkdtemp(prefix="tracelake-zip-")) / "tracelake.zip"

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import positive_timestamp
+from ..functions import once, positive_timestamp
 from ..schema import ATTRS
 
 
@@ -79,7 +79,7 @@ def parse_entry_lines(lines: DataFrame, column: str = "value", keep: list[str] |
     """
     keep = keep or []
     doc = F.col("_doc")
-    parsed = lines.select(*keep, F.col(column).alias("_line"), F.try_parse_json(column).alias("_doc"))
+    parsed = once(lines.select(*keep, F.col(column).alias("_line")), "_doc", F.try_parse_json("_line"))
     checked = parsed.withColumn("_reason", _reject_reason(doc))
 
     stamps = [

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import once
 from .lines import numbered_lines
 
 _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "escape": '"'}
@@ -17,7 +18,7 @@ _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "escape": '"'
 def _fields(lines: DataFrame, n: int) -> DataFrame:
     """Split each line into ``c0 .. c{n-1}``; ``_bad`` is set when the number of fields differs."""
     schema = ", ".join(f"c{i} string" for i in range(n)) + ", _bad string"
-    return lines.withColumn("_f", F.from_csv("value", schema, _CSV)).select(
+    return once(lines, "_f", F.from_csv("value", schema, _CSV)).select(
         "line_no",
         "value",
         *[F.coalesce(F.col(f"_f.c{i}"), F.lit("")).alias(f"c{i}") for i in range(n)],
