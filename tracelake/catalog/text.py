@@ -68,7 +68,10 @@ _PAGE = r"""SELECT page_id, regexp_replace(html, '(?is)<head\b.*?</head>|<!--.*?
   FROM pages WHERE page_id % 10 <> 7"""
 _TAGS = "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
 _PLAIN = rf"regexp_replace(regexp_replace(t, '(?i)</?({_TAGS})(\s[^>]*)?/?>', chr(10), 'g'), '</?[a-zA-Z][^>]*>', '', 'g')"
-_ENTITIES = f"replace(replace(replace(replace(replace(replace({_PLAIN}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
+_CODES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&")]
+_ENTITIES = _PLAIN
+for _code, _char in _CODES:
+    _ENTITIES = f"replace({_ENTITIES}, '{_code}', '{_char}')"
 _TIDY = rf"trim(regexp_replace(regexp_replace({_ENTITIES}, '[ \t\r\f\x0B\x{{A0}}]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"
 
 ORACLES = {
