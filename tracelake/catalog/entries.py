@@ -33,7 +33,7 @@ def _json_lines(spark, sf) -> DataFrame:
         .when(kind == 4, F.to_json(F.struct("path", name.alias("name"))))
         .otherwise(good)
     )
-    return v.entries(spark, sf).select(line.alias("value"))
+    return v.entries(spark, sf, heavy=True).select(line.alias("value"))
 
 
 def _show(e: DataFrame) -> DataFrame:

@@ -141,10 +141,16 @@ def _identity() -> Column:
     return F.concat_ws("|", F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_quantity").cast("bigint").cast("string"))
 
 
+def line_items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Keys and some columns of the line items, spread over all cores when the input is one small file."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns)
+    return spread_if_few(rows, "l_orderkey", "l_linenumber")
+
+
 def ref_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed files, one per line item. Equal identities give equal digests."""
     i = _identity()
-    return table(spark, sf_dir, "lineitem").select(
+    return line_items(spark, sf_dir, "l_partkey", "l_suppkey", "l_quantity").select(
         F.unhex(F.sha1(i.cast("binary"))).alias("sha1"),
         F.unhex(F.md5(i.cast("binary"))).alias("md5"),
         F.unhex(F.substring(F.md5(F.concat(i, F.lit("c")).cast("binary")), 1, 8)).alias("crc32"),
@@ -215,7 +221,7 @@ def dated_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entry per line item with up to four time stamps."""
     ship = _epoch("l_shipdate")
     day = 86400
-    return table(spark, sf_dir, "lineitem").select(
+    return line_items(spark, sf_dir, "l_shipdate", "l_returnflag", "l_linestatus").select(
         F.concat(F.lit("/orders/"), F.col("l_orderkey").cast("string")).alias("path"),
         F.concat(F.lit("item"), F.col("l_linenumber").cast("string"), F.lit(".dat")).alias("name"),
         positive_timestamp(ship).alias("created"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _md5_pairs(file_hashes: DataFrame) -> DataFrame:
     return file_hashes.where(F.col("hash_type") == "md5").select("hash", "image_id")
@@ -43,7 +45,7 @@ def iif_scores(file_hashes: DataFrame, images: DataFrame, image_id: str) -> Data
     value it could have, ln N times the number of files of the reference image. The reference image
     scores itself; that row has ``is_self``.
     """
-    pairs = shared_pairs(file_hashes, image_id)
+    pairs = materialize(shared_pairs(file_hashes, image_id), "shared-pairs")
     spread = pairs.groupBy("hash").agg(F.count("*").alias("k"))
     n_images = images.select("image_id").distinct().agg(F.count("*")).scalar()
     n_files = files_in_image(file_hashes, image_id).scalar()

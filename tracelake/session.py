@@ -96,20 +96,23 @@ def spread_if_few(df: DataFrame, *keys: str) -> DataFrame:
 def lookup_join(
     big: DataFrame,
     table: DataFrame,
-    on: str,
+    on: str | list[str],
     spread_by: str,
     how: str = "inner",
     max_broadcast_rows: int = BROADCAST_ROWS,
     salts: int = 16,
 ) -> DataFrame:
-    """Join ``big`` to a table that has one row per ``on``; ``on`` may be heavily skewed in ``big``.
+    """Join ``big`` to a stored lookup table; ``on`` may be heavily skewed in ``big``.
 
     The table is counted first (cheap on a materialised table). Up to ``max_broadcast_rows`` it is
-    broadcast. Beyond that both sides shuffle on ``(on, salt)``: rows of a hot key spread over
-    ``salts`` tasks by ``spread_by`` and the table's rows are repeated once per salt.
+    broadcast and ``big`` is not shuffled at all. Beyond that both sides shuffle on ``(on, salt)``:
+    rows of a hot key spread over ``salts`` tasks by ``spread_by`` and the table's rows are repeated
+    once per salt. Each row of ``big`` meets each of its table rows once either way, so inner and
+    left joins are right.
     """
+    on = [on] if isinstance(on, str) else on
     if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         return big.join(F.broadcast(table), on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
