@@ -1,7 +1,7 @@
 """Reference hash set: four quoted CSV tables with a header line.
 
-Each ``parse_*`` takes rows ``(line_no, value)`` without the header and returns ``(good, bad)``;
-``bad`` has the line number, the reason and the line.
+Each ``parse_*`` takes rows ``(file, line_no, value)`` without the header and returns ``(good, bad)``;
+``bad`` has the file, the line number, the reason and the line.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ def _fields(lines: DataFrame, n: int) -> DataFrame:
     """Split each line into ``c0 .. c{n-1}``; ``_bad`` is set when the number of fields differs."""
     schema = ", ".join(f"c{i} string" for i in range(n)) + ", _bad string"
     return once(lines, "_f", F.from_csv("value", schema, _CSV)).select(
+        "file",
         "line_no",
         "value",
         *[F.coalesce(F.col(f"_f.c{i}"), F.lit("")).alias(f"c{i}") for i in range(n)],
@@ -38,7 +39,7 @@ def _width_reason(n: int) -> Column:
 def _split(checked: DataFrame, *good: Column) -> tuple[DataFrame, DataFrame]:
     return (
         checked.where("reason is null").select(*good),
-        checked.where("reason is not null").select("line_no", "reason", F.col("value").alias("line")),
+        checked.where("reason is not null").select("file", "line_no", "reason", F.col("value").alias("line")),
     )
 
 
@@ -80,7 +81,7 @@ def parse_ref_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _last_wins(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    picked = rows.groupBy(key).agg(F.max_by(F.struct(*columns), "line_no").alias("_r"))
+    picked = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct("file", "line_no")).alias("_r"))
     return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
@@ -88,6 +89,7 @@ def parse_mfg(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Manufacturers: code, name. The last line of a code wins."""
     good, bad = _split(
         _fields(lines, 2).withColumn("reason", _width_reason(2)),
+        F.col("file"),
         F.col("line_no"),
         F.col("c0").alias("code"),
         F.col("c1").alias("name"),
@@ -99,6 +101,7 @@ def parse_os(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Operating systems: code, name, version, manufacturer code. The last line of a code wins."""
     good, bad = _split(
         _fields(lines, 4).withColumn("reason", _width_reason(4)),
+        F.col("file"),
         F.col("line_no"),
         F.col("c0").alias("code"),
         F.col("c1").alias("name"),
@@ -131,14 +134,14 @@ def _body(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return (
         numbered_lines(spark, path)
         .where("line_no > 1")
-        .select((F.col("line_no") - 1).alias("line_no"), "value")
+        .select("file", (F.col("line_no") - 1).alias("line_no"), "value")
     )
 
 
 def read_ref_files(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     # The file list repeats its header in every volume, so it is recognised by its text.
     lines = numbered_lines(spark, path).where(~F.col("value").startswith('"SHA-1"'))
-    return parse_ref_files(lines.select("line_no", "value"))
+    return parse_ref_files(lines)
 
 
 def read_mfg(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
