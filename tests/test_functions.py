@@ -83,6 +83,7 @@ def test_hash_fanout(spark):
 def test_times(spark):
     assert one(spark, fn.positive_timestamp(F.lit(0))) is None
     assert one(spark, fn.positive_timestamp(F.lit(-5))) is None
+    assert one(spark, fn.positive_timestamp(F.lit(10**15))) is None
     assert one(spark, F.unix_seconds(fn.positive_timestamp(F.lit(258970620)))) == 258970620
     for seconds in (0, 258970620, 1700000000):
         want = datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc).ctime()

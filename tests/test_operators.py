@@ -43,6 +43,14 @@ def test_counts_agree(spark):
     assert [r.a for r in direct] == [0, 3]
 
 
+def test_has_hit_is_the_same_as_having_hits(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    patterns = make_patterns(spark, ["licen[sc]e", "(", "que"])
+    flagged = {r.doc_id for r in docs.where(search.has_hit(patterns)).collect()}
+    assert flagged == {r.doc_id for r in search.grep_hits(docs, patterns).where("size(hits) > 0").collect()}
+    assert docs.where(search.has_hit(make_patterns(spark, ["("]))).count() == 0
+
+
 def test_random_per_key(spark):
     rows = spark.range(3000).selectExpr("id", "cast(id % 3 as string) k", "concat('v', id) v")
     first = {r.k: r.v for r in inventory.random_per_key(rows, "k", "v", "id", 1).collect()}

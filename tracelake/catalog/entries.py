@@ -205,7 +205,7 @@ ORACLES = {
       CASE WHEN doc_id % 11 = 4 THEN 0 ELSE size END AS size,
       CASE WHEN doc_id % 11 = 4 THEN -1 ELSE 519 END AS gid,
       CASE WHEN doc_id % 11 = 4 OR doc_id * 1000 - 5000 <= 0 THEN -1 ELSE doc_id * 1000 - 5000 END AS created,
-      CASE WHEN doc_id % 11 = 4 OR doc_id <= 0 THEN -1 ELSE doc_id * 86400 END AS written,
+      CASE WHEN doc_id % 11 = 4 OR doc_id <= 0 OR doc_id * 86400 > 9223372036854 THEN -1 ELSE doc_id * 86400 END AS written,
       doc_id % 11 <> 4 AS has_meta
     FROM e WHERE doc_id % 11 >= 4""",
     "read_entries_rejects": """SELECT CASE doc_id % 11 WHEN 0 THEN 'path is not a string' WHEN 1 THEN 'name is not an object'

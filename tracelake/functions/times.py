@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from .names import _col
 
 
+# Seconds up to which a timestamp can be held; corrupt records may have more.
+MAX_SECONDS = (2**63 - 1) // 1_000_000
+
+
 def positive_timestamp(epoch_seconds: Column | str) -> Column:
-    """Epoch seconds as a timestamp; zero and negative values mean "not set"."""
+    """Epoch seconds as a timestamp; zero and negative values mean "not set", as do impossible ones."""
     seconds = _col(epoch_seconds)
-    return F.when(seconds > 0, F.timestamp_seconds(seconds))
+    return F.when((seconds > 0) & (seconds <= MAX_SECONDS), F.timestamp_seconds(seconds))
 
 
 def ctime_text(epoch_seconds: Column | str) -> Column:

@@ -133,6 +133,15 @@ def search_hits(with_hits: DataFrame, patterns: list[Pattern]) -> DataFrame:
     return rows.join(F.broadcast(labels), "a").select("a", "kw", "p", "fP", "fId")
 
 
+def has_hit(patterns: list[Pattern], text: str = "text") -> Column:
+    """True for texts that some pattern matches; each pattern stops at its first match."""
+    found = F.lit(False)
+    for p in patterns:
+        if p.valid:
+            found = found | F.col(text).rlike(p.kw)
+    return (F.length(text) > 0) & found
+
+
 def hit_corpus(with_hits: DataFrame, text: str = "text") -> DataFrame:
     """Documents that have at least one hit."""
     return with_hits.where(F.col(text).isNotNull() & (F.size("hits") > 0)).select(
