@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from tracelake import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 # No SQL form; checked by brute force or invariants in the other test files.
 WITHOUT_ORACLE = {
