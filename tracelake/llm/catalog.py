@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .near_dedup import near_duplicates
+from .toxicity import toxicity
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

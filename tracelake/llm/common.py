@@ -105,3 +105,40 @@ def components(edges: DataFrame) -> DataFrame:
         if after.where(F.col("comp") != F.col("was")).isEmpty():
             return after.select("node", "comp")
         labels = after.select("node", "comp")
+
+
+#: Bytes of text that are worked on at once; a longer single text is a block of its own.
+BLOCK_BYTES = 1 << 20
+
+
+def byte_blocks(texts, block_bytes: int = BLOCK_BYTES):
+    """Whole texts joined by line feeds, a block at a time: ``(first row, end row, bytes, starts of rows)``."""
+    parts, size, first = [], 0, 0
+    for at, text in enumerate(texts):
+        data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+        if parts and size + len(data) > block_bytes:
+            yield first, at, *_joined(parts)
+            parts, size, first = [], 0, at
+        parts.append(data)
+        size += len(data) + 1
+    if parts:
+        yield first, first + len(parts), *_joined(parts)
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter((len(p) + 1 for p in parts), dtype=np.int64, count=len(parts))
+    starts = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(lengths)))
+    return np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8), starts
+
+
+def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True."""
+    padded = np.zeros(len(inside) + 2, dtype=np.int8)
+    padded[1:-1] = inside
+    step = np.diff(padded)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def lower_values(data: np.ndarray) -> np.ndarray:
+    """The hash value of each byte, A-Z lower-cased."""
+    return _LOWER_VALUES[data]
