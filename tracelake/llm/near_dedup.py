@@ -150,6 +150,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return result.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns; of rows with equal sets and one id all stay."""
+    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
 def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     """Confirmed links ``(a, b)`` between nodes that give the components of all links."""
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
