@@ -7,8 +7,11 @@ each leaving out one value, and every such pair meets under an equal key. (Pairs
 meet too; at a Jaccard similarity of 0.75 a pair stays apart with a probability of 0.367 ** 12.)
 
 Pairs that meet are confirmed on their full sets. Texts with equal sets are one node throughout. In a
-group of copies not all pairs are compared: each key first links its nodes to one pivot, and only
-nodes of one key that are still in different components are compared further.
+group of copies not all pairs are compared. First the shingles are counted that a node shares with no other node
+that has a key in common with any: of ``n`` shingles only the ``c`` others can be in an intersection, so nodes with ``c < 0.75 n``
+have no link at all, and two nodes none if ``7 min(c, c') < 3 (n + n')``. Then each key links its nodes to
+a pivot, the node with the least share of shingles of its own (mostly the text that the others are copies of), and to one drawn by a hash. Only
+nodes of one key that are still in different components and may be linked by these counts are compared pair by pair.
 
 Defined cases: a null or empty text, or one of white space only, has no shingles and is linked with
 nothing; a text of fewer than five words has its whole sequence as its one shingle; a row without
@@ -20,7 +23,8 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,10 +40,8 @@ CHUNKS, WIDTH = 12, 5
 VALUES = CHUNKS * WIDTH
 #: Pairs with more differing values go unconfirmed: six standard deviations beyond what 0.75 gives.
 MAX_DISTANCE = 36
-#: Rounds of pivots before what is left under a key is compared pair by pair.
-PIVOT_ROUNDS = 6
-#: No further round of pivots when the pairs left are at most so many for each row under shared keys.
-PAIRS_PER_ROW = 4
+#: Shingles for each bucket in which those of one node only are found. Sets the number of buckets; results don't depend on it.
+BUCKET_SHINGLES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,10 +121,49 @@ def _near_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[(x != y).sum(axis=1) <= MAX_DISTANCE, ["a", "b"]]
 
 
-def _comparable(left: str, right: str) -> F.Column:
-    """Sizes at which the similarity can be reached at all."""
-    low, high = F.least(left, right), F.greatest(left, right)
-    return 100 * low >= SIMILARITY_PERCENT * high
+_SEVERAL = 0xFFFF
+
+
+def _deal_shingles(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A row for each batch and bucket: 48 bits of each shingle and the node that has it, or that several have it."""
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for at in range(0, len(whole), _SEVERAL - 1):
+                batch = whole.iloc[at : at + _SEVERAL - 1]
+                sets = [np.frombuffer(b, dtype=np.uint64) for b in batch["shingles"]]
+                entries = np.concatenate(sets) & ~np.uint64(_SEVERAL) | np.repeat(np.arange(len(sets), dtype=np.uint64), [len(x) for x in sets])
+                entries.sort()
+                hashes = entries >> np.uint64(16)
+                new = np.concatenate((np.ones(1, dtype=bool), hashes[1:] != hashes[:-1]))
+                alone = new & np.append(new[1:], True)
+                entries = np.where(alone, entries, entries | np.uint64(_SEVERAL))[new]
+                cuts = np.append(np.searchsorted(entries, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(entries))
+                nodes = batch["node"].to_numpy(dtype=np.int64).tobytes()
+                found = [(b, entries[cuts[b] : cuts[b + 1]].tobytes(), nodes) for b in range(1 << bits) if cuts[b] < cuts[b + 1]]
+                yield pd.DataFrame(found, columns=["bucket", "entries", "nodes"])
+
+    return deal
+
+
+def _count_own(bucket: pd.DataFrame) -> pd.DataFrame:
+    """``node, own``: the shingles of the bucket that this node alone has."""
+    entries = [np.frombuffer(b, dtype=np.uint64) for b in bucket["entries"]]
+    nodes = [np.frombuffer(b, dtype=np.int64) for b in bucket["nodes"]]
+    base = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum([len(n) for n in nodes])))
+    all_, source = np.concatenate(entries), np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+    order = np.argsort(all_ >> np.uint64(16), kind="stable")
+    hashes, number = all_[order] >> np.uint64(16), (all_[order] & np.uint64(_SEVERAL)).astype(np.int64)
+    new = np.concatenate((np.ones(1, dtype=bool), hashes[1:] != hashes[:-1]))
+    alone = new & np.append(new[1:], True) & (number != _SEVERAL)
+    node, own = np.unique(np.concatenate(nodes)[base[source[order]][alone] + number[alone]], return_counts=True)
+    return pd.DataFrame({"node": node, "own": own})
+
+
+def _may_link() -> F.Column:
+    """Sizes and shared shingles with which the similarity can be reached at all."""
+    low, high = F.least("n", "n2"), F.greatest("n", "n2")
+    return (100 * low >= SIMILARITY_PERCENT * high) & (7 * F.least("c", "c2") >= 3 * (F.col("n") + F.col("n2")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -158,9 +199,15 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     """Confirmed links ``(a, b)`` between nodes that give the components of all links."""
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(wanted, "doc_id", "left_semi")
+    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "n"), "node")
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(wanted.select("doc_id"), "doc_id", "left_semi")
     sets = materialize(texts.select("text").mapInPandas(_sets, "node long, shingles binary"), "sets")
+    total = wanted.agg(F.sum("n")).first()[0] or 0
+    bits = max(2, math.ceil(math.log2(max(1, total / BUCKET_SHINGLES))))
+    own = sets.mapInPandas(_deal_shingles(bits), "bucket int, entries binary, nodes binary").groupBy("bucket").applyInPandas(_count_own, "node long, own long")
+    own = own.groupBy("node").agg(F.sum("own").alias("own"))
+    counted = members.join(own, "node", "left").withColumn("c", F.col("n") - F.coalesce("own", F.lit(0))).where(100 * F.col("c") >= SIMILARITY_PERCENT * F.col("n"))
+    rows = materialize(counted.select("key", "node", "n", "c"), "rows")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         sigs = nodes.select("node", "sig")
@@ -174,32 +221,19 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
         )
         return materialize(full.mapInPandas(_confirm, "a long, b long"), "links")
 
-    done, links, state = None, None, members.withColumn("comp", F.col("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        # Per key: rows, and the sum over its components of their rows squared, give the pairs left.
-        sizes = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("r"), F.sum(F.col("c") * F.col("c")).alias("s"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", (((F.col("r") * F.col("r")) - F.col("s")) / 2).alias("left"))
-        sizes = materialize(sizes, "open")
-        total = sizes.agg(F.sum("left"), F.count(F.lit(1))).first()
-        if not total[1]:
-            break
-        open_rows = materialize(state.join(sizes.select("key"), "key", "left_semi"), "state")
-        if turn == PIVOT_ROUNDS or total[0] <= PAIRS_PER_ROW * open_rows.count():
-            other = open_rows.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "comp")))
-            pairs = open_rows.join(other, "key").where((F.col("comp") != F.col("comp2")) & (F.col("node") < F.col("node2")))
-            last = True
-        else:
-            pivot = F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(turn))).alias("p")
-            pairs = open_rows.join(open_rows.groupBy("key").agg(pivot), "key").select("key", "node", "n", "comp", *(F.col(f"p.{c}").alias(f"{c}2") for c in ("node", "n", "comp")))
-            pairs = pairs.where(F.col("comp") != F.col("comp2"))
-            last = False
-        pairs = pairs.where(_comparable("n", "n2")).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        pairs = materialize(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        new = confirmed(pairs)
-        links = new if links is None else links.unionByName(new)
-        done = pairs if done is None else done.unionByName(pairs)
-        if last:
-            break
-        parts = components(links)
-        state = members.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    return links if links is not None else nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    def as_pairs(found: DataFrame) -> DataFrame:
+        return found.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
+    of_key = F.struct("node", "n", "c")
+    pivots = rows.groupBy("key").agg(
+        F.min_by(of_key, F.struct((1 - F.col("c") / F.col("n")).alias("own"), F.xxhash64("node"))).alias("p1"), F.min_by(of_key, F.xxhash64("node")).alias("p2")
+    )
+    pivots = pivots.select("key", F.explode(F.array_distinct(F.array("p1", "p2"))).alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}2") for c in ("node", "n", "c")))
+    links = confirmed(as_pairs(rows.join(pivots, "key").where((F.col("node") != F.col("node2")) & _may_link())))
+    state = rows.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    state = materialize(state.select("key", "node", "n", "c", "comp"), "state")
+    open_keys = state.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
+    state = state.join(open_keys, "key", "left_semi")
+    other = state.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "c", "comp")))
+    rest = state.join(other, "key").where((F.col("comp") != F.col("comp2")) & (F.col("node") < F.col("node2")) & _may_link())
+    return links.unionByName(confirmed(as_pairs(rest)))
