@@ -11,6 +11,7 @@ from .decontaminate import contamination
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .suffix_dedup import without_repeats
+from .token_count import token_counts
 from .toxicity import toxicity
 
 
@@ -30,6 +31,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_token_count": op9_token_count,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

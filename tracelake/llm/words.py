@@ -72,6 +72,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     cuts: np.ndarray  # where each text's words begin, and the end
+    plain: bool = True  # cut by the tables
 
     @functools.cached_property
     def hashes(self) -> np.ndarray:
