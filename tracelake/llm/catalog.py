@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contamination
@@ -12,6 +13,7 @@ from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .suffix_dedup import without_repeats
 from .token_count import token_counts
+from .top_k import top_k
 from .toxicity import toxicity
 
 
@@ -27,6 +29,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,9 +49,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
     "op9_token_count": op9_token_count,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL}
