@@ -3,7 +3,7 @@
 Terms are words (runs of letters, A-Z lower-cased; bytes from 80 on count as letters) and the first four bytes of each longer
 word. A bounded sample of labelled rows, ``EXAMPLES_PER_LABEL`` of each label in the order of a hash of the id,
 gives the vocabulary (terms whose share differs between the labels by more than ``MIN_Z`` standard
-deviations, ``VOCABULARY`` at most), the inverse document frequencies and the examples. The examples
+deviations and at least ``MIN_RATIO`` times, ``VOCABULARY`` at most), the inverse document frequencies and the examples. The examples
 stand in a block-max inverted index: for each term and block of examples the largest weight is kept, so blocks
 that cannot reach the k-th best cosine are never opened, and the neighbours found are exact.
 
@@ -31,6 +31,7 @@ from .common import byte_blocks, lower_values, runs, span_hashes
 EXAMPLES_PER_LABEL = 3000
 VOCABULARY = 1024
 MIN_Z = 5.0
+MIN_RATIO = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIX = 4
@@ -194,7 +195,8 @@ def _model(rows: list, share: float) -> ToxicityModel:
     with_zero = np.bincount(inverse[labels[owner] == 0], minlength=len(every)) / zeros
     mean = (with_one * ones + with_zero * zeros) / (ones + zeros)
     z = np.abs(with_one - with_zero) / np.sqrt(mean * (1 - mean) * (1 / ones + 1 / zeros) + 1e-12)
-    chosen = np.flatnonzero(z > MIN_Z)
+    ratio = (with_one + 1 / ones) / (with_zero + 1 / zeros)
+    chosen = np.flatnonzero((z > MIN_Z) & (np.maximum(ratio, 1 / ratio) >= MIN_RATIO))
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:VOCABULARY]])
     if not len(chosen):
         return nothing
