@@ -15,6 +15,7 @@ from .suffix_dedup import without_repeats
 from .token_count import token_counts
 from .top_k import top_k
 from .toxicity import toxicity
+from .url_filter import judge_urls
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_url_filter": op4_url_filter,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
