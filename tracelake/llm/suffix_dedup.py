@@ -30,18 +30,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, mix
+from .common import BYTE_VALUES, span_hashes
 
 LENGTH = 50
 GRAM = 20
 SPREAD = LENGTH - GRAM  # a string's anchor starts at most so many bytes after it
 #: Text for each bucket of anchors. Sets the number of buckets; results don't depend on it.
 BUCKET_BYTES = 16 << 20
-PIECE_BUCKETS = 4  # buckets of pieces for each bucket of anchors
-SHARD_PIECES = 40_000
+PIECE_BUCKETS = 8  # buckets of pieces for each bucket of anchors
+SHARD_PIECES = 30_000
 _BATCH_ROWS = 1 << 16
 _POSITION = np.uint64((1 << 28) - 1)
 _BASE = 0xC2B2AE3D27D4EB4F
@@ -73,6 +74,18 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return place[first], gram[place[first]], first, last
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as a small blob: differences, split into planes of bytes, compressed."""
+    step = np.diff(values, prepend=values[:1] * 0)
+    planes = np.ascontiguousarray(step.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(blob: bytes, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype)
+
+
 def _bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
@@ -98,28 +111,28 @@ def _deal_anchors(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
                 several[:-1] |= ~new[1:]
                 cuts = np.searchsorted(entries, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, dtype=np.int64)
                 cuts = np.append(cuts, len(entries))
-                rows = {"bucket": [], "entries": [], "ids": [], "hits": []}
+                rows, all_ids = {"bucket": [], "entries": [], "ids": [], "hits": []}, packed(ids)
                 for bucket in range(1 << bits):
                     part = slice(cuts[bucket], cuts[bucket + 1])
                     if part.start == part.stop:
                         continue
                     sure = entries[part][several[part]]
                     rows["bucket"].append(bucket)
-                    rows["entries"].append(entries[part][new[part]].tobytes())
-                    rows["ids"].append(ids.tobytes())
-                    rows["hits"].append(sure.tobytes())
+                    rows["entries"].append(packed(entries[part][new[part]]))
+                    rows["ids"].append(all_ids)
+                    rows["hits"].append(packed(sure))
                 yield pd.DataFrame(rows)
 
     return deal
 
 
 def _shared_anchors(bucket: pd.DataFrame) -> pd.DataFrame:
-    """``doc_id, h`` for the anchors of a bucket that are in several documents."""
+    """``doc_id, h`` for the anchors of a bucket that are in several documents; 32 bits tell the anchors of one document apart."""
     entries, ids, sure_entries, sure_ids = [], [], [], []
     for row in bucket.itertuples():
-        own = np.frombuffer(row.ids, dtype=np.int64)
+        own = unpacked(row.ids, np.int64)
         for blob, to, to_ids in ((row.entries, entries, ids), (row.hits, sure_entries, sure_ids)):
-            values = np.frombuffer(blob, dtype=np.uint64)
+            values = unpacked(blob, np.uint64)
             to.append(values >> np.uint64(16))
             to_ids.append(own[(values & np.uint64(0xFFFF)).astype(np.int64)])
     hashes, docs = np.concatenate(entries), np.concatenate(ids)
@@ -129,12 +142,15 @@ def _shared_anchors(bucket: pd.DataFrame) -> pd.DataFrame:
     same[1:] = hashes[1:] == hashes[:-1]
     same[:-1] |= same[1:]
     return pd.DataFrame(
-        {"doc_id": np.concatenate([docs[same], *sure_ids]), "h": np.concatenate([hashes[same], *sure_entries]).astype(np.int64)}
+        {"doc_id": np.concatenate([docs[same], *sure_ids]), "h": np.concatenate([hashes[same], *sure_entries]).astype(np.uint32).view(np.int32)}
     )
 
 
 def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A row for each batch and bucket: different pieces, and where each of them occurs."""
+    """A row for each batch and bucket: different pieces, and where each of them occurs.
+
+    A use names the text only where rows with one id have several texts; else 0 stands for it.
+    """
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -144,9 +160,11 @@ def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
                     continue
                 data = np.frombuffer(_bytes(text), dtype=np.uint8)
                 _, hashes, first, last = anchors(data)
-                wanted = np.isin(hashes >> np.uint64(16), np.asarray(shared, dtype=np.int64).astype(np.uint64))
+                wanted = np.isin((hashes >> np.uint64(16)).astype(np.uint32), np.asarray(shared, dtype=np.int32).view(np.uint32))
                 if wanted.any():
-                    parts.append((i, data, hashes[wanted], first[wanted], last[wanted]))
+                    hashes, first, last = hashes[wanted], first[wanted], last[wanted]
+                    keys = span_hashes(BYTE_VALUES[data], first, last + LENGTH) ^ hashes
+                    parts.append((i, data, hashes, first, last, keys))
             if parts:
                 yield from _piece_rows(parts, bits, batch)
 
@@ -157,34 +175,32 @@ def _piece_rows(parts: list, bits: int, batch: pd.DataFrame) -> Iterator[pd.Data
     base = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum([len(p[1]) for p in parts])))
     data = np.concatenate([p[1] for p in parts])
     owner = np.repeat([p[0] for p in parts], [len(p[2]) for p in parts])
-    anchor, first, last = (np.concatenate([p[k] for p in parts]) for k in (2, 3, 4))
+    anchor, first, last, key = (np.concatenate([p[k] for p in parts]) for k in (2, 3, 4, 5))
     start = first + np.repeat(base[:-1], [len(p[2]) for p in parts])
     size = last - first + LENGTH
-    flat, cuts = _gather(data, start, size)
-    key = _piece_keys(flat, cuts) ^ anchor
-    bucket = (anchor >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(anchor), dtype=np.int64)
+    bucket = (anchor >> np.uint64(64 - bits)).astype(np.int64)
     _, one, same = np.unique(key, return_index=True, return_inverse=True)
-    ids, texts = batch["doc_id"].to_numpy(dtype=np.int64), batch["text_id"].to_numpy(dtype=np.int64)
+    ids, texts = batch["doc_id"].to_numpy(dtype=np.int64), np.where(batch["several"], batch["text_id"], 0)
     by_bucket = np.argsort(bucket[one], kind="stable")
     piece_cuts = np.searchsorted(bucket[one][by_bucket], np.arange((1 << bits) + 1))
     number = np.empty(len(one), dtype=np.int64)
     number[by_bucket] = np.arange(len(one))
     uses = np.argsort(number[same], kind="stable")
     use_cuts = np.searchsorted(number[same][uses], piece_cuts)
-    rows = {c: [] for c in ("bucket", "keys", "sizes", "data", "piece", "docs", "texts", "starts")}
+    rows = {c: [] for c in ("bucket", "sizes", "data", "piece", "docs", "texts", "starts")}
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     for b in range(1 << bits):
         mine = one[by_bucket[piece_cuts[b] : piece_cuts[b + 1]]]
         if not len(mine):
             continue
         used = uses[use_cuts[b] : use_cuts[b + 1]]
         rows["bucket"].append(b)
-        rows["keys"].append(key[mine].tobytes())
         rows["sizes"].append(size[mine].astype(np.uint8).tobytes())
-        rows["data"].append(_gather(data, start[mine], size[mine])[0].tobytes())
-        rows["piece"].append((number[same[used]] - piece_cuts[b]).astype(np.int32).tobytes())
-        rows["docs"].append(ids[owner[used]].tobytes())
-        rows["texts"].append(texts[owner[used]].tobytes())
-        rows["starts"].append(first[used].astype(np.int32).tobytes())
+        rows["data"].append(squeeze(_gather(data, start[mine], size[mine])[0].tobytes()))
+        rows["piece"].append(packed((number[same[used]] - piece_cuts[b]).astype(np.int32)))
+        rows["docs"].append(packed(ids[owner[used]]))
+        rows["texts"].append(packed(texts[owner[used]]))
+        rows["starts"].append(packed(first[used].astype(np.int32)))
     yield pd.DataFrame(rows)
 
 
@@ -194,13 +210,6 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.n
     return data[np.arange(cuts[-1]) + np.repeat(start - cuts[:-1], size)], cuts
 
 
-def _piece_keys(flat: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    size = np.diff(cuts)
-    offset = (np.arange(len(flat)) - np.repeat(cuts[:-1], size)).astype(np.uint64)
-    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(BYTE_VALUES[flat] + offset * np.uint64(_BASE)))))
-    return mix(total[cuts[1:]] - total[cuts[:-1]] + size.astype(np.uint64))
-
-
 def suffix_ranks(data: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     """The rank of each suffix by its first ``depth`` bytes; equal up to there, equal rank.
 
@@ -279,18 +288,18 @@ def _mark(bucket: pd.DataFrame) -> pd.DataFrame:
     """``doc_id, text_id, start, mask``: bit j tells that the string at ``start + j`` has a smaller document."""
     pieces, uses, count = [], [], 0
     for row in bucket.itertuples():
-        keys, size = np.frombuffer(row.keys, dtype=np.uint64), np.frombuffer(row.sizes, dtype=np.uint8).astype(np.int64)
-        pieces.append((keys, size, np.frombuffer(row.data, dtype=np.uint8)))
-        uses.append((np.frombuffer(row.piece, dtype=np.int32) + count, np.frombuffer(row.docs, dtype=np.int64), np.frombuffer(row.texts, dtype=np.int64), np.frombuffer(row.starts, dtype=np.int32)))
-        count += len(keys)
-    keys, size, data = (np.concatenate([p[k] for p in pieces]) for k in range(3))
+        size = np.frombuffer(row.sizes, dtype=np.uint8).astype(np.int64)
+        pieces.append((size, np.frombuffer(zstandard.ZstdDecompressor().decompress(row.data), dtype=np.uint8)))
+        uses.append((unpacked(row.piece, np.int32) + count, unpacked(row.docs, np.int64), unpacked(row.texts, np.int64), unpacked(row.starts, np.int32)))
+        count += len(size)
+    size, data = (np.concatenate([p[k] for p in pieces]) for k in range(2))
     piece, docs, texts, starts = (np.concatenate([u[k] for u in uses]) for k in range(4))
-    _, one, same = np.unique(keys, return_index=True, return_inverse=True)
+    ends = np.cumsum(size)
+    _, one, same = np.unique(span_hashes(BYTE_VALUES[data], ends - size, ends), return_index=True, return_inverse=True)
     piece = same[piece]
     smallest = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(smallest, piece, docs)
-    begin = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(size)))[:-1]
-    least = _least_by_string(data, begin[one], size[one], smallest)  # pieces x (SPREAD + 1)
+    least = _least_by_string(data, (ends - size)[one], size[one], smallest)  # pieces x (SPREAD + 1)
     earlier = least[piece] < docs[:, None]
     mask = (earlier * (1 << np.arange(SPREAD + 1))).sum(axis=1)
     hit = mask > 0
@@ -337,7 +346,7 @@ def _merge(shards: list) -> None:
 
 def _kept(data: bytes, text_id: int, marks) -> tuple[bytes, int]:
     """The bytes that stay, and the number of runs removed."""
-    own = [m for m in marks if m["text_id"] == text_id] if marks is not None else []
+    own = [m for m in marks if m["text_id"] in (0, text_id)] if marks is not None else []
     if not own:
         return data, 0
     if any(m["mask"] < 0 for m in own):
@@ -364,21 +373,23 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """For each id with repeats: ``doc_id, marks``, the latter ``(text_id, start, mask)``; a mask of -1 stands for the whole text."""
+    """For each id with repeats: ``doc_id, marks``, the latter ``(text_id, start, mask)``; a mask of -1 stands for the whole text, a ``text_id`` of 0 for the only text with the id."""
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(2, math.ceil(math.log2(max(1, total / BUCKET_BYTES))))
     piece_bits = bits + int(math.log2(PIECE_BUCKETS))
-    texts = known.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("text_id"))
+    texts = known.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.xxhash64("text").alias("text_id"))
     firsts = texts.groupBy("sha").agg(F.min("doc_id").alias("first"))
     copies = texts.join(firsts, "sha").where("doc_id > first").select("doc_id", "text_id").distinct()
     dealt = known.mapInPandas(_deal_anchors(bits), "bucket int, entries binary, ids binary, hits binary")
-    hits = dealt.groupBy("bucket").applyInPandas(_shared_anchors, "doc_id long, h long")
+    hits = dealt.groupBy("bucket").applyInPandas(_shared_anchors, "doc_id long, h int")
     by_doc = hits.groupBy("doc_id").agg(F.collect_set("h").alias("hashes"))
     copies_by_doc = copies.groupBy("doc_id").agg(F.collect_list("text_id").alias("copies"))
-    wanted = _by_id(docs).join(by_doc.join(copies_by_doc, "doc_id", "left"), "doc_id")
-    schema = "bucket int, keys binary, sizes binary, data binary, piece binary, docs binary, texts binary, starts binary"
-    pieces = wanted.select("doc_id", F.xxhash64("text").alias("text_id"), "text", "hashes", "copies").mapInPandas(_deal_pieces(piece_bits), schema)
+    several = texts.groupBy("doc_id").agg((F.min("text_id") != F.max("text_id")).alias("several")).where("several")
+    about = by_doc.join(copies_by_doc, "doc_id", "left").join(several, "doc_id", "left").withColumn("several", F.col("several").isNotNull())
+    wanted = _by_id(docs).join(about, "doc_id")
+    schema = "bucket int, sizes binary, data binary, piece binary, docs binary, texts binary, starts binary"
+    pieces = wanted.select("doc_id", F.xxhash64("text").alias("text_id"), "text", "hashes", "copies", "several").mapInPandas(_deal_pieces(piece_bits), schema)
     found = pieces.groupBy("bucket").applyInPandas(_mark, "doc_id long, text_id long, start int, mask long")
     whole = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.lit(-1).cast("long").alias("mask"))
     return found.unionByName(whole).groupBy("doc_id").agg(F.collect_list(F.struct("text_id", "start", "mask")).alias("marks"))
