@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contamination
+from .licenses import MIN_DICE, TEMPLATES, scan, size_bounds, template_bigrams
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .suffix_dedup import without_repeats
@@ -34,6 +35,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license", "score", "n_units", F.array_join(F.col("licenses.name"), ",").alias("licenses"))
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
     "op9_token_count": op9_token_count,
@@ -72,4 +79,39 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
 
-ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL}
+
+
+def _license_sql() -> str:
+    rows = []
+    for name, text in TEMPLATES:
+        bigrams = template_bigrams(text)
+        quoted = ", ".join(f"'{b}'" for b in bigrams)
+        rows.append(f"('{name}', [{quoted}], {', '.join(map(str, size_bounds(len(bigrams), MIN_DICE)))})")
+    return rf"""
+WITH t(name, tb, low, high) AS (VALUES {", ".join(rows)}),
+u AS (
+  SELECT doc_id, unnest(list_concat(string_split_regex(text, '\r?\n'),
+    list_filter(string_split_regex(text, '\r?\n[ \t]*\r?\n\s*'), lambda b: contains(trim(b), chr(10))))) AS unit
+  FROM documents),
+w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM u),
+b AS (
+  SELECT doc_id, row_number() OVER () AS k,
+    list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS b
+  FROM w),
+d AS (
+  SELECT doc_id, k, name, 2.0 * len(list_intersect(b, tb)) / (len(b) + len(tb)) AS dice
+  FROM b JOIN t ON len(b) BETWEEN low AND high),
+m AS (SELECT * FROM d WHERE dice >= {MIN_DICE} QUALIFY row_number() OVER (PARTITION BY k ORDER BY dice DESC, name) = 1),
+n AS (SELECT doc_id, name, max(dice) AS score, count(*) AS units FROM m GROUP BY ALL),
+g AS (
+  SELECT doc_id, arg_min(name, (-score, name)) AS license, max(score) AS score, CAST(sum(units) AS INTEGER) AS n_units,
+    string_agg(name, ',' ORDER BY score DESC, name) AS licenses
+  FROM n GROUP BY doc_id)
+SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units, coalesce(licenses, '') AS licenses
+FROM documents LEFT JOIN g USING (doc_id)""".replace("\\\\", "\\")
+
+
+ORACLES: dict[str, str] = {"op6_license_scan": _license_sql(), "op7_top_k": TOP_K_SQL}
