@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contamination
+from .language_id import language_id
 from .licenses import MIN_DICE, TEMPLATES, scan, size_bounds, template_bigrams
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -23,6 +24,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +63,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_language_id": op2_language_id,
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_suffix_dedup": op5_suffix_dedup,
