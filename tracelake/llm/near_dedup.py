@@ -10,8 +10,9 @@ Pairs that meet are confirmed on their full sets. Texts with equal sets are one
 group of copies not all pairs are compared. First the shingles are counted that a node shares with no other node
 that has a key in common with any: of ``n`` shingles only the ``c`` others can be in an intersection, so nodes with ``c < 0.75 n``
 have no link at all, and two nodes none if ``7 min(c, c') < 3 (n + n')``. Then each key links its nodes to
-a pivot, the node with the least share of shingles of its own (mostly the text that the others are copies of), and to one drawn by a hash. Only
-nodes of one key that are still in different components and may be linked by these counts are compared pair by pair.
+a pivot, the node with the least share of shingles of its own (mostly the text that the others are copies of), and to one drawn by a hash. Nodes
+under keys that still hold several components are grouped by their key's pivot and compared block by block, by counting all overlaps of a block's sets
+together; pairs are never rows.
 
 Defined cases: a null or empty text, or one of white space only, has no shingles and is linked with
 nothing; a text of fewer than five words has its whole sequence as its one shingle; a row without
@@ -43,6 +44,13 @@ MAX_DISTANCE = 36
 #: Shingles for each bucket in which those of one node only are found. Sets the number of buckets; results don't depend on it.
 BUCKET_SHINGLES = 1 << 20
 
+#: Shingles for each block of a group whose nodes are compared; results don't depend on it.
+BLOCK_SHINGLES = 300_000
+#: Pairs of sets with a member from which on it takes part in a matrix product.
+DENSE_PAIRS = 4096
+_COLUMNS = 1024
+_PAIRS_AT_ONCE = 1 << 14
+
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64)
@@ -228,12 +236,79 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     pivots = rows.groupBy("key").agg(
         F.min_by(of_key, F.struct((1 - F.col("c") / F.col("n")).alias("own"), F.xxhash64("node"))).alias("p1"), F.min_by(of_key, F.xxhash64("node")).alias("p2")
     )
+    first_pivots = pivots.select("key", F.col("p1.node").alias("pivot"))
     pivots = pivots.select("key", F.explode(F.array_distinct(F.array("p1", "p2"))).alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}2") for c in ("node", "n", "c")))
     links = confirmed(as_pairs(rows.join(pivots, "key").where((F.col("node") != F.col("node2")) & _may_link())))
     state = rows.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    state = materialize(state.select("key", "node", "n", "c", "comp"), "state")
+    state = materialize(state.select("key", "node", "n", "comp"), "state")
     open_keys = state.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    state = state.join(open_keys, "key", "left_semi")
-    other = state.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "c", "comp")))
-    rest = state.join(other, "key").where((F.col("comp") != F.col("comp2")) & (F.col("node") < F.col("node2")) & _may_link())
-    return links.unionByName(confirmed(as_pairs(rest)))
+    groups = state.join(open_keys, "key", "left_semi").join(first_pivots, "key").select("pivot", "node", "n", "comp").distinct()
+    return links.unionByName(_links_between(materialize(groups, "groups"), sets))
+
+
+def _links_between(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between nodes of different components within each group (``pivot, node, n, comp``).
+
+    Groups are dealt to blocks of about ``BLOCK_SHINGLES`` shingles; every two blocks of a group meet once, and all overlaps of their nodes are
+    counted together, so only links leave a block.
+    """
+    blocks = groups.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    placed = groups.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    filled = placed.join(sets, "node").select("pivot", "blocks", "block", "node", "comp", "shingles")
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("node")  # a set is stored once for each row with its id
+        one = rows.iloc[0]
+        sizes = np.array([len(b) // 8 for b in rows["shingles"]], dtype=np.int32)
+        parts = {"nodes": rows["node"].to_numpy(dtype=np.int64).tobytes(), "comps": rows["comp"].to_numpy(dtype=np.int64).tobytes()}
+        return pd.DataFrame([{"pivot": one["pivot"], "blocks": one["blocks"], "block": one["block"], **parts, "sizes": sizes.tobytes(), "data": b"".join(rows["shingles"])}])
+
+    packed = filled.groupBy("pivot", "block").applyInPandas(pack, "pivot long, blocks int, block int, nodes binary, comps binary, sizes binary, data binary")
+    columns = ("nodes", "comps", "sizes", "data")
+    left = packed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
+    right = packed.select("pivot", F.col("block").alias("other"), *(F.col(c).alias(f"{c}2") for c in columns))
+    return materialize(left.join(right, ["pivot", "other"]).mapInPandas(_block_links, "a long, b long"), "links")
+
+
+def _block_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for row in batch.itertuples():
+            nodes, nodes2 = (np.frombuffer(x, dtype=np.int64) for x in (row.nodes, row.nodes2))
+            comps, comps2 = (np.frombuffer(x, dtype=np.int64) for x in (row.comps, row.comps2))
+            size, size2 = (np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in (row.sizes, row.sizes2))
+            both = overlaps(np.frombuffer(row.data, dtype=np.uint64), size, np.frombuffer(row.data2, dtype=np.uint64), size2)
+            linked = (comps[:, None] != comps2[None, :]) & (100 * both >= SIMILARITY_PERCENT * (size[:, None] + size2[None, :] - both))
+            at, at2 = np.nonzero(linked)
+            yield pd.DataFrame({"a": np.minimum(nodes[at], nodes2[at2]), "b": np.maximum(nodes[at], nodes2[at2])})
+
+
+def overlaps(left: np.ndarray, sizes: np.ndarray, right: np.ndarray, sizes2: np.ndarray) -> np.ndarray:
+    """How many members each left set shares with each right set; the sets stand one after the other."""
+    owner, owner2 = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.arange(len(sizes2)), sizes2)
+    known, place, count = np.unique(left, return_inverse=True, return_counts=True)
+    place2 = np.minimum(np.searchsorted(known, right), len(known) - 1)
+    hit = known[place2] == right
+    owner2, place2 = owner2[hit], place2[hit]
+    count2 = np.bincount(place2, minlength=len(known))
+    total = np.zeros((len(sizes), len(sizes2)), dtype=np.int64)
+    # A member in many sets on both sides is one column of a matrix product; of any other the pairs are counted.
+    dense = count * count2 >= DENSE_PAIRS
+    columns = np.cumsum(dense) - 1
+    for at in range(0, int(dense.sum()), _COLUMNS):
+        mine = dense[place] & (columns[place] >= at) & (columns[place] < at + _COLUMNS)
+        theirs = dense[place2] & (columns[place2] >= at) & (columns[place2] < at + _COLUMNS)
+        x, y = np.zeros((len(sizes), _COLUMNS), dtype=np.float32), np.zeros((len(sizes2), _COLUMNS), dtype=np.float32)
+        x[owner[mine], columns[place[mine]] - at] = 1
+        y[owner2[theirs], columns[place2[theirs]] - at] = 1
+        total += (x @ y.T).astype(np.int64)
+    few = (~dense) & (count2 > 0)
+    mine, theirs = np.flatnonzero(few[place]), np.flatnonzero(few[place2])
+    theirs = theirs[np.argsort(place2[theirs], kind="stable")]
+    begin = np.searchsorted(place2[theirs], np.arange(len(known)))
+    for at in range(0, len(mine), _PAIRS_AT_ONCE):
+        part = mine[at : at + _PAIRS_AT_ONCE]
+        n = count2[place[part]]
+        cuts = np.cumsum(n)
+        index = np.arange(cuts[-1]) + np.repeat(begin[place[part]] - (cuts - n), n)
+        np.add.at(total, (np.repeat(owner[part], n), owner2[theirs[index]]), 1)
+    return total
