@@ -41,9 +41,12 @@ GRAM = 20
 SPREAD = LENGTH - GRAM  # a string's anchor starts at most so many bytes after it
 #: Text for each bucket of anchors. Sets the number of buckets; results don't depend on it.
 BUCKET_BYTES = 16 << 20
-PIECE_BUCKETS = 8  # buckets of pieces for each bucket of anchors
+PIECE_BUCKETS = 16  # buckets of pieces for each bucket of anchors
 SHARD_PIECES = 30_000
+#: Text from which hashes or pieces are gathered before they are sent; bounds a worker's memory, results don't depend on it.
+SLICE_BYTES = 8 << 20
 _BATCH_ROWS = 1 << 16
+_WHOLE = -1
 _POSITION = np.uint64((1 << 28) - 1)
 _BASE = 0xC2B2AE3D27D4EB4F
 
@@ -90,13 +93,21 @@ def _bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
+def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The batch in slices of about ``SLICE_BYTES`` of text."""
+    size = np.cumsum([len(t) if isinstance(t, str) else 0 for t in batch["text"]])
+    number = size // SLICE_BYTES + np.arange(len(batch)) // _BATCH_ROWS
+    cuts = np.concatenate((np.zeros(1, dtype=np.int64), np.flatnonzero(np.diff(number)) + 1, [len(batch)]))
+    for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.iloc[at:end]
+
+
 def _deal_anchors(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A row for each batch and bucket: an entry for each anchor hash, and hits already sure."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for at in range(0, len(whole), _BATCH_ROWS):
-                batch = whole.iloc[at : at + _BATCH_ROWS]
+            for batch in _slices(whole):
                 ids = batch["doc_id"].to_numpy(dtype=np.int64)
                 found = []
                 for i, text in enumerate(batch["text"]):
@@ -153,7 +164,7 @@ def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
     """
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             parts = []
             for i, (text_id, text, shared, copies) in enumerate(zip(batch["text_id"], batch["text"], batch["hashes"], batch["copies"], strict=True)):
                 if copies is not None and text_id in copies:
@@ -285,7 +296,7 @@ def string_classes(data: np.ndarray, cuts: np.ndarray, docs: np.ndarray) -> tupl
 
 
 def _mark(bucket: pd.DataFrame) -> pd.DataFrame:
-    """``doc_id, text_id, start, mask``: bit j tells that the string at ``start + j`` has a smaller document."""
+    """``doc_id, text_id, mark``: a mark is a start in the upper and a mask in the lower 31 bits; bit j tells that the string at ``start + j`` has a smaller document."""
     pieces, uses, count = [], [], 0
     for row in bucket.itertuples():
         size = np.frombuffer(row.sizes, dtype=np.uint8).astype(np.int64)
@@ -303,7 +314,7 @@ def _mark(bucket: pd.DataFrame) -> pd.DataFrame:
     earlier = least[piece] < docs[:, None]
     mask = (earlier * (1 << np.arange(SPREAD + 1))).sum(axis=1)
     hit = mask > 0
-    return pd.DataFrame({"doc_id": docs[hit], "text_id": texts[hit], "start": starts[hit].astype(np.int32), "mask": mask[hit]})
+    return pd.DataFrame({"doc_id": docs[hit], "text_id": texts[hit], "mark": starts[hit].astype(np.int64) << 31 | mask[hit]})
 
 
 def _least_by_string(data: np.ndarray, begin: np.ndarray, size: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -344,15 +355,17 @@ def _merge(shards: list) -> None:
             shards[j][6][place[equal]] = low
 
 
-def _kept(data: bytes, text_id: int, marks) -> tuple[bytes, int]:
-    """The bytes that stay, and the number of runs removed."""
-    own = [m for m in marks if m["text_id"] in (0, text_id)] if marks is not None else []
-    if not own:
+def _kept(data: bytes, text_id: int, marks, texts) -> tuple[bytes, int]:
+    """The bytes that stay, and the number of runs removed. texts: for each mark the text it is for, 0 if there is only one."""
+    if marks is None:
+        return data, 0
+    texts = np.asarray(texts, dtype=np.int64)
+    own = np.asarray(marks, dtype=np.int64)[(texts == 0) | (texts == text_id)]
+    if not len(own) or len(data) < LENGTH:
         return data, 0
-    if any(m["mask"] < 0 for m in own):
-        return (data, 0) if len(data) < LENGTH else (b"", 1)
-    start = np.array([m["start"] for m in own], dtype=np.int64)
-    mask = np.array([m["mask"] for m in own], dtype=np.int64)
+    if (own == _WHOLE).any():
+        return b"", 1
+    start, mask = own >> 31, own & ((1 << 31) - 1)
     at = (start[:, None] + np.arange(SPREAD + 1))[(mask[:, None] >> np.arange(SPREAD + 1)) & 1 == 1]
     step = np.zeros(len(data) + 1, dtype=np.int64)
     np.add.at(step, at, 1)
@@ -365,15 +378,15 @@ def _kept(data: bytes, text_id: int, marks) -> tuple[bytes, int]:
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc_id, text_id, text, marks in zip(batch["doc_id"], batch["text_id"], batch["text"], batch["marks"], strict=True):
+        for doc_id, text_id, text, marks, texts in zip(batch["doc_id"], batch["text_id"], batch["text"], batch["marks"], batch["mark_texts"], strict=True):
             data = _bytes(text)
-            kept, spans = _kept(data, text_id, marks)
+            kept, spans = _kept(data, text_id, marks, texts)
             out.append((doc_id, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
         yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """For each id with repeats: ``doc_id, marks``, the latter ``(text_id, start, mask)``; a mask of -1 stands for the whole text, a ``text_id`` of 0 for the only text with the id."""
+    """For each id with repeats ``doc_id, marks, mark_texts``: a mark as in ``_mark``, or ``_WHOLE``, and the text it is for, 0 standing for the only text with the id."""
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(2, math.ceil(math.log2(max(1, total / BUCKET_BYTES))))
@@ -390,9 +403,10 @@ def marks(docs: DataFrame) -> DataFrame:
     wanted = _by_id(docs).join(about, "doc_id")
     schema = "bucket int, sizes binary, data binary, piece binary, docs binary, texts binary, starts binary"
     pieces = wanted.select("doc_id", F.xxhash64("text").alias("text_id"), "text", "hashes", "copies", "several").mapInPandas(_deal_pieces(piece_bits), schema)
-    found = pieces.groupBy("bucket").applyInPandas(_mark, "doc_id long, text_id long, start int, mask long")
-    whole = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.lit(-1).cast("long").alias("mask"))
-    return found.unionByName(whole).groupBy("doc_id").agg(F.collect_list(F.struct("text_id", "start", "mask")).alias("marks"))
+    found = pieces.groupBy("bucket").applyInPandas(_mark, "doc_id long, text_id long, mark long")
+    whole = copies.select("doc_id", "text_id", F.lit(_WHOLE).cast("long").alias("mark"))
+    both = F.collect_list(F.struct("mark", "text_id"))
+    return found.unionByName(whole).groupBy("doc_id").agg(both.alias("m")).select("doc_id", F.col("m.mark").alias("marks"), F.col("m.text_id").alias("mark_texts"))
 
 
 def _by_id(docs: DataFrame) -> DataFrame:
@@ -402,7 +416,7 @@ def _by_id(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs``."""
-    joined = _by_id(docs).join(marks(docs), "doc_id", "left").select("doc_id", F.xxhash64("text").alias("text_id"), "text", "marks")
+    joined = _by_id(docs).join(marks(docs), "doc_id", "left").select("doc_id", F.xxhash64("text").alias("text_id"), "text", "marks", "mark_texts")
     return joined.mapInPandas(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -410,12 +424,13 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats cut out of ``text`` (pieces of characters left at a cut go too) and ``n_chars`` to match."""
 
     @F.pandas_udf("string")
-    def kept_text(text_id: pd.Series, text: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([t if m is None or not isinstance(t, str) else _kept(_bytes(t), i, m)[0].decode("utf-8", "ignore") for i, t, m in zip(text_id, text, found, strict=True)], dtype="object")
+    def kept_text(text_id: pd.Series, text: pd.Series, found: pd.Series, texts: pd.Series) -> pd.Series:
+        rows = zip(text_id, text, found, texts, strict=True)
+        return pd.Series([t if m is None or not isinstance(t, str) else _kept(_bytes(t), i, m, own)[0].decode("utf-8", "ignore") for i, t, m, own in rows], dtype="object")
 
     columns = docs.columns
-    joined = docs.join(marks(docs).withColumnRenamed("marks", "_marks"), "doc_id", "left")
-    cut = joined.withColumn("text", kept_text(F.xxhash64("text"), "text", "_marks"))
+    joined = docs.join(marks(docs).toDF("doc_id", "_marks", "_mark_texts"), "doc_id", "left")
+    cut = joined.withColumn("text", kept_text(F.xxhash64("text"), "text", "_marks", "_mark_texts"))
     if "n_chars" in columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*columns)
