@@ -68,14 +68,16 @@ def test_export_by_path(spark):
         assert got == {"1": (b"abc", "", "m", ""), "2": (b"", "hdfs://big", "", "")}
 
 
-@pytest.mark.parametrize("max_rows", [1000, 1])
-def test_lookup_join_is_exact_for_hot_keys(spark, max_rows):
+@pytest.mark.parametrize("most", [1 << 20, 1])
+def test_lookup_join_is_exact_for_hot_keys(spark, most):
     big = spark.range(900).selectExpr("id", "if(id % 3 = 0, 'hot', concat('k', id % 50)) k")
     table = materialize(spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("zz", 4)], "k string, x int"))
     for how in ("inner", "left"):
         want = collections.Counter(map(tuple, big.join(table, "k", how).collect()))
-        got = collections.Counter(map(tuple, lookup_join(big, table, "k", "id", how, max_broadcast_rows=max_rows).select("k", "id", "x").collect()))
+        got = collections.Counter(map(tuple, lookup_join(big, table, "k", how, max_broadcast_bytes=most).select("k", "id", "x").collect()))
         assert got == want
+        plan = lookup_join(big, table, "k", how, max_broadcast_bytes=most)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan) == (most > 1) and "Generate" not in plan  # no copies of the table's rows
 
 
 def test_mark_known_by_either_hash(spark):
@@ -206,24 +208,23 @@ def sequential_seeds(dense, t2):
     return seeds
 
 
-def test_canopy_seeds_equal_the_sequential_rule(spark, monkeypatch):
+def test_canopy_seeds_equal_the_sequential_rule(spark):
     vectors, dense = vectors_of(spark)
-    monkeypatch.setattr(cluster, "CENTRES_PER_BLOCK", 7)
     want = sequential_seeds(dense, 0.65)
     got = [r.id for r in cluster.canopy_seeds(vectors, 0.65).orderBy("c").collect()]
     assert len(want) > 5 and got == want
 
 
-def test_kmeans_against_dense(spark, monkeypatch):
+def test_kmeans_against_dense(spark):
     vectors, dense = vectors_of(spark)
-    monkeypatch.setattr(cluster, "CENTRES_PER_BLOCK", 7)
     seeds = sequential_seeds(dense, 0.65)
     centres = np.array([dense[1 - dense @ dense[s] < 0.65].mean(axis=0) for s in seeds])
-    entries, n = cluster.canopy(vectors)
-    assert n == len(seeds)
+    entries, nearest = cluster.canopy(vectors)
+    n, number = len(seeds), {c: k for k, c in enumerate(seeds)}
+    assert {r.c for r in entries.select("c").distinct().collect()} == set(seeds)
     got = np.zeros_like(centres)
     for r in entries.collect():
-        got[r.c, r.idx] = r.val
+        got[number[r.c], r.idx] = r.val
     assert np.allclose(got, centres)
     for _ in range(20):
         unit = centres / np.linalg.norm(centres, axis=1, keepdims=True)
@@ -234,15 +235,15 @@ def test_kmeans_against_dense(spark, monkeypatch):
         if (shift <= 0.01).all():
             break
     unit = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-    assigned, final = cluster.kmeans(vectors, entries, n, convergence=0.01)
+    assigned, final = cluster.kmeans(vectors, entries, nearest, convergence=0.01)
     distance = 1 - dense @ unit.T
     for r in assigned.collect():
-        assert distance[r.id, r.c] == pytest.approx(distance[r.id].min()) and r.distance == pytest.approx(distance[r.id, r.c])
+        assert distance[r.id, number[r.c]] == pytest.approx(distance[r.id].min()) and r.distance == pytest.approx(distance[r.id, number[r.c]])
     terms = spark.range(200).selectExpr("concat('t', id) term", "id idx", "1 df")
     topics = cluster.cluster_topics(assigned, final, terms).collect()
     assert sum(t.n for t in topics) == len(dense) and all(len(t.kw.split(", ")) <= 10 for t in topics)
     top = {t.a: t.kw.split(", ")[0] for t in topics}
-    assert all(centres[a][int(t[1:])] == pytest.approx(centres[a].max()) for a, t in top.items())
+    assert all(centres[number[a]][int(t[1:])] == pytest.approx(centres[number[a]].max()) for a, t in top.items())
     docs = spark.range(310).selectExpr("id doc_id", "concat('/d', id) doc")
     placed = cluster.cluster_docs(docs, assigned, cluster.cluster_topics(assigned, final, terms))
     assert placed.count() == 310 and placed.where("a = -1").count() == 10

@@ -11,8 +11,8 @@ QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 # No SQL form; checked by brute force or invariants in the other test files.
 WITHOUT_ORACLE = {
-    "random_per_key", "extract_content", "extract_stats", "block_hashes", "image_digest",
-    "canopy", "kmeans", "cluster_topics", "cluster_docs",
+    "extract_content", "extract_stats", "block_hashes", "image_digest",
+    "kmeans", "cluster_topics", "cluster_docs",
 }
 
 

@@ -133,18 +133,16 @@ def test_axis_limit(spark, top, limit):
     assert column_max(spark.createDataFrame([(top,)], "n bigint")).first()["limit"] == limit
 
 
-def test_random_value_script(spark):
-    """A script with state over the values of a key, as users write them."""
-    import random
-
-    def pick(key, values, context):
-        n, choice = 0, None
-        for v in values:
-            n += 1
-            if random.randint(1, n) == 1:
-                choice = v
-        context.emit(key, choice)
-
-    pairs = spark.range(50).selectExpr("'k' key", "cast(id as string) value")
-    got = scripting.run_reducer(pairs, pick).collect()
-    assert len(got) == 1 and 0 <= int(got[0].value) < 50
+def test_script_with_state_over_values(spark):
+    """The longest run of equal values in a row."""
+
+    def longest_run(key, values, context):
+        best, last, n = 0, None, 0
+        for value in values:
+            n = n + 1 if value == last else 1
+            best, last = max(best, n), value
+        context.emit(key, best)
+
+    pairs = spark.range(7).selectExpr("'k' key", "if(id < 4, 'a', 'b') value").coalesce(1)
+    got = scripting.run_reducer(pairs, longest_run, "text", "long").collect()
+    assert [(r.key, r.value) for r in got] == [("k", 4)]

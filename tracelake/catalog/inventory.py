@@ -54,6 +54,7 @@ ORACLES = {
     "ext_count": _E + "SELECT ext, count(*) AS n FROM e GROUP BY ext",
     "ext_size": _E + 'SELECT ext, CAST(sum(size) AS BIGINT) AS size, count(*) AS "count", round(avg(size), 4) AS avg_size FROM e GROUP BY ext',
     "ext_paths": _E + "SELECT ext, full_path FROM e",
+    "random_per_key": _E + "SELECT ext, arg_min(full_path, (md5(entry_id || ':7'), entry_id)) AS full_path FROM e GROUP BY ext",
     "timeline": f"WITH {v.DATED_SQL} SELECT epoch, label FROM stamps",
     "timeline_ctime": f"WITH {v.DATED_SQL}"
     + """ SELECT strftime(make_timestamp(epoch * 1000000), '%a %b ')

@@ -15,7 +15,13 @@ def csv_export(spark, sf):
     return op.csv_lines(rows)
 
 
+def unregistered_entries(spark, sf):
+    """A third of the images is taken from the registry first."""
+    return op.unregistered_entries(v.entries(spark, sf), v.images(spark, sf).where(F.substring("image_id", 1, 1) >= "6"))
+
+
 QUERIES = {
+    "unregistered_entries": unregistered_entries,
     "device_info": lambda s, d: op.device_info(v.entries(s, d), v.images(s, d)),
     "volume_usage": lambda s, d: op.volume_usage(v.entries(s, d), v.images(s, d)),
     "report_total": lambda s, d: op.column_total(inventory.folder_count(v.entries(s, d))),
@@ -38,6 +44,9 @@ ORACLES = {
       UNION ALL SELECT image_id, 'size', CAST(size AS VARCHAR) FROM images
       UNION ALL SELECT image_id, 'totalFiles', CAST(CAST(files AS BIGINT) AS VARCHAR) FROM pi
       UNION ALL SELECT image_id, 'volumeList', vols FROM pi""",
+    "unregistered_entries": _I
+    + """SELECT image_id, count(*) AS files, CAST(sum(size) AS BIGINT) AS size FROM e
+      WHERE image_id NOT IN (SELECT image_id FROM images WHERE substr(image_id, 1, 1) >= '6') GROUP BY image_id""",
     "volume_usage": _I
     + """, u AS (SELECT image_id, CAST(sum(size) AS BIGINT) AS used FROM e GROUP BY image_id)
       SELECT image_id, size, used, greatest(size - used, 0) AS unused,

@@ -1,6 +1,6 @@
 """Column builders. Each returns a Column made of built-in functions; none is a UDF."""
 
-from .attrs import byte_extents, resident_content
+from .attrs import byte_extents, resident_content, runs_overflow
 from .keys import (
     entry_key,
     entry_key_image,
@@ -34,4 +34,5 @@ __all__ = [
     "once",
     "positive_timestamp",
     "resident_content",
+    "runs_overflow",
 ]

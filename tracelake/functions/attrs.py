@@ -42,8 +42,25 @@ def byte_extents(
 ) -> Column:
     """Runs of the first attribute that has some, in bytes from the start of the image.
 
-    NULL when no attribute qualifies or the file system is unknown.
+    NULL when no attribute qualifies or the file system is unknown, and when a run of a corrupt record lies
+    beyond what 64 bits can address (see ``runs_overflow``).
     """
+    extents = _extents(attrs, fs_byte_offset, block_size)
+    return F.when(~F.exists(extents, lambda x: x["addr"].isNull() | x["offset"].isNull() | x["len"].isNull()), extents)
+
+
+def runs_overflow(
+    attrs: Column | str = "attrs",
+    fs_byte_offset: Column | str = "fs_byte_offset",
+    block_size: Column | str = "fs_block_size",
+) -> Column:
+    """True for a record with runs that cannot be addressed; it has no usable extents."""
+    bad = F.exists(_extents(attrs, fs_byte_offset, block_size), lambda x: x["addr"].isNull() | x["offset"].isNull() | x["len"].isNull())
+    return F.coalesce(bad, F.lit(False))
+
+
+def _extents(attrs: Column | str, fs_byte_offset: Column | str, block_size: Column | str) -> Column:
+    """Runs in bytes; a number that overflows is NULL."""
     base, block = _col(fs_byte_offset), _col(block_size)
     with_runs = F.filter(
         _col(attrs),
@@ -56,9 +73,9 @@ def byte_extents(
         runs,
         lambda r: F.struct(
             r["flags"].alias("flags"),
-            (r["addr"] * block + base).alias("addr"),
-            (r["offset"] * block).alias("offset"),
-            (r["len"] * block).alias("len"),
+            F.try_add(F.try_multiply(r["addr"], block), base).alias("addr"),
+            F.try_multiply(r["offset"], block).alias("offset"),
+            F.try_multiply(r["len"], block).alias("len"),
         ),
     )
     return F.when(base.isNotNull() & block.isNotNull(), extents)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import full_path
-from ..session import spread
+from ..session import tasks_for
 from ..sources.images import image_ranges, open_image
 
 # Largest content kept in a row, bytes read at once, and the hashed block.
@@ -90,12 +90,14 @@ EXTRACTED = (
 
 
 def _read_extents(image, extents, size: int) -> Iterator[bytes]:
-    """Bytes of the extents in order, at most ``size``; an extent past the end of the image ends it."""
-    left = size
+    """Bytes of the extents in order, at most ``size``; an extent that lies outside of the image ends it."""
+    left = size if size is not None and size == size else 0
     end = image.size()
     for extent in extents:
-        at = extent["addr"]
-        todo = min(extent["len"], left)
+        at, length = extent["addr"], extent["len"]
+        if at is None or length is None or at < 0 or length < 0:
+            return
+        todo = min(length, left)
         while todo > 0:
             if at >= end:
                 return
@@ -154,8 +156,7 @@ def extract_content(extents: DataFrame) -> DataFrame:
             if image is not None:
                 image.close()
 
-    spark = extents.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = tasks_for(extents.sparkSession, extents.agg(F.sum("size")).first()[0])
     placed = extents.select("image", "first_addr", "id", "fp", "size", "extents")
     placed = placed.repartitionByRange(n, "image", "first_addr").sortWithinPartitions("image", "first_addr")
     return placed.mapInPandas(run, EXTRACTED)
@@ -193,7 +194,8 @@ def block_hashes(images: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
                         )
 
     range_bytes = READ_BYTES // block_bytes * block_bytes or block_bytes
-    ranges = spread(image_ranges(images, range_bytes), "image", "start")
+    ranges = image_ranges(images, range_bytes)
+    ranges = ranges.repartition(tasks_for(images.sparkSession, ranges.agg(F.sum("length")).first()[0]), "image", "start")
     return ranges.mapInPandas(run, "image string, offset bigint, md5 string")
 
 
@@ -223,6 +225,7 @@ def image_digest(images: DataFrame) -> DataFrame:
                         digest.update(image.read_at(min(READ_BYTES, row.length - at), at))
                 yield pd.DataFrame({"image": [row.image], "length": [row.length], "md5": [digest.hexdigest()]})
 
-    return spread(images.select("image", "length"), "image").mapInPandas(
+    n = tasks_for(images.sparkSession, images.agg(F.sum("length")).first()[0])
+    return images.select("image", "length").repartition(n, "image").mapInPandas(
         run, "image string, length bigint, md5 string"
     )

@@ -52,7 +52,7 @@ def random_per_key(rows: DataFrame, key: str, value: str, row_id: str, seed: int
     Each row draws a number from its id and the smallest draw wins, so the choice is an ordinary
     minimum with partial aggregation before the shuffle.
     """
-    draw = F.struct(F.xxhash64(F.col(row_id), F.lit(seed)).alias("d"), F.col(row_id).alias("i"), F.col(value).alias("v"))
+    draw = F.struct(F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(seed)))).alias("d"), F.col(row_id).alias("i"), F.col(value).alias("v"))
     return rows.groupBy(key).agg(F.min(draw)["v"].alias(value))
 
 

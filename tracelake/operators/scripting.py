@@ -12,6 +12,7 @@ import subprocess
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from .inventory import is_regular_file
 # Type names a script may declare.
 TYPES = {"text": "string", "long": "bigint", "double": "double", "json": "string", "bytes": "binary"}
 
+_ARROW = {"text": pa.string(), "long": pa.int64(), "double": pa.float64(), "json": pa.string(), "bytes": pa.binary()}
+
 # Keys a map-side combine holds before it passes them on.
 _COMBINE_KEYS = 50_000
 
@@ -66,6 +69,13 @@ class Context:
     def error(self, message: str) -> None:
         self._count("errors")
 
+    def take_batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        if self._counters is not None:
+            self._counters.add("output_records", len(self.rows))
+        columns = [pa.array([r[i] for r in self.rows], type=field.type) for i, field in enumerate(schema)]
+        self.rows = []
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
     def take(self) -> pd.DataFrame:
         if self._counters is not None:
             self._counters.add("output_records", len(self.rows))
@@ -82,7 +92,7 @@ class Entry:
 
     def __getitem__(self, name: str):
         value = self._row.get(name)
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None:
             raise KeyError(name)
         return value
 
@@ -117,20 +127,22 @@ def run_mapper(
 ) -> DataFrame:
     """Run ``mapper(key, entry, context)`` on every entry; ``context.emit(k, v)`` makes output rows.
 
-    ``columns`` limits what is read and sent to Python. ``key`` is the hex entry id.
+    ``columns`` limits what is read and sent to Python. ``key`` is the hex entry id. Values reach the mapper
+    with their own types: whole numbers stay whole beside nulls, and nested columns are dicts and lists.
     """
+    schema = pa.schema([("key", _ARROW[key_type]), ("value", _ARROW[value_type])])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = Context(value_type, counters)
-        for frame in frames:
+        for batch in batches:
             if counters is not None:
-                counters.add("input_records", len(frame))
-            for row in frame.to_dict("records"):
+                counters.add("input_records", batch.num_rows)
+            for row in batch.to_pylist():
                 mapper(row["entry_id"], Entry(row), context)
-            yield context.take()
+            yield context.take_batch(schema)
 
     used = entries if columns is None else entries.select("entry_id", *[c for c in columns if c != "entry_id"])
-    return used.mapInPandas(run, f"key {spark_type(key_type)}, value {spark_type(value_type)}")
+    return used.mapInArrow(run, f"key {spark_type(key_type)}, value {spark_type(value_type)}")
 
 
 def _combine(pairs: DataFrame, reducer: Callable, value_type: str) -> DataFrame:
@@ -203,19 +215,19 @@ def run_reducer(
 
 
 def run_command(
-    entries: DataFrame, command: list[str], timeout: float = 60.0, content: str = "content"
+    entries: DataFrame, command: list[str], timeout: float | None = None, content: str = "content"
 ) -> DataFrame:
     """Run an external command per regular file with the content on stdin.
 
-    Output: ``entry_id, stdout, stderr, exit_code``. A command that cannot be started or runs out
-    of time gives exit code -1 and the reason in ``stderr``.
+    Output: ``entry_id, stdout, stderr, exit_code``. A command that cannot be started or runs out of a given
+    ``timeout`` (seconds) gives exit code -1 and the reason in ``stderr``; what it had written by then is kept.
     """
 
     def one(data: bytes) -> tuple[str, str, int]:
         try:
             done = subprocess.run(command, input=data, capture_output=True, timeout=timeout, check=False)
-        except subprocess.TimeoutExpired:
-            return "", "timed out", -1
+        except subprocess.TimeoutExpired as e:
+            return (e.stdout or b"").decode(errors="replace"), "timed out", -1
         except OSError as e:
             return "", str(e), -1
         return done.stdout.decode(errors="replace"), done.stderr.decode(errors="replace"), done.returncode

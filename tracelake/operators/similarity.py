@@ -43,7 +43,7 @@ def iif_scores(file_hashes: DataFrame, images: DataFrame, image_id: str) -> Data
 
     A shared hash that occurs in k of N images adds ln(N/k). ``c`` divides the sum by the largest
     value it could have, ln N times the number of files of the reference image. The reference image
-    scores itself; that row has ``is_self``.
+    scores itself; that row has ``is_self``. With one image nothing tells files apart: ``iif`` and ``c`` are 0.
     """
     pairs = materialize(shared_pairs(file_hashes, image_id), "shared-pairs")
     spread = pairs.groupBy("hash").agg(F.count("*").alias("k"))
@@ -56,7 +56,7 @@ def iif_scores(file_hashes: DataFrame, images: DataFrame, image_id: str) -> Data
     )
     return sums.select(
         F.col("image_id").alias("id"),
-        (F.col("iif") / (F.log(n_images) * n_files)).alias("c"),
+        F.coalesce(F.try_divide("iif", F.log(n_images) * n_files), F.lit(0.0)).alias("c"),
         "iif",
         (F.col("image_id") == image_id).alias("is_self"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from ..sinks import write_entries, write_extents, write_sorted_hashes
 from ..sources import ParsedEntries, read_entries
 
 
+class AlreadyRegistered(ValueError):
+    """The image is in the registry, so its entries are stored."""
+
+
 class Ingested(NamedTuple):
     entries: DataFrame
     extents: DataFrame
@@ -31,11 +36,35 @@ def identify(parsed: DataFrame, image_id: str) -> DataFrame:
             "image_id": F.lit(image_id),
             "entry_id": F.lower(F.hex(key)),
             "extents": fn.byte_extents(),
+            "runs_overflow": fn.runs_overflow(),
             "content": fn.resident_content(),
         }
     )
 
 
+def one_per_key(entries: DataFrame) -> DataFrame:
+    """Of rows with one entry id, one whole row: the largest by its hash. A dump may repeat lines."""
+    columns = entries.columns
+    row = F.struct(*columns)
+    picked = entries.groupBy("entry_id").agg(F.max_by(row, F.xxhash64(*columns)).alias("_row"))
+    return picked.select("_row.*")
+
+
+def register(spark: SparkSession, out: str, image_id: str, friendly_name: str | None, run_ts: str) -> None:
+    """Add the image to the registry under ``out``: id, name, load time. An image that is there is refused."""
+    row = spark.range(1).select(
+        F.lit(image_id).alias("image_id"), F.lit(friendly_name or image_id).alias("friendly_name"), F.lit(run_ts).cast("timestamp").alias("loaded_on")
+    )
+    try:
+        known = spark.read.schema(row.schema).parquet(f"{out}/images")
+    except AnalysisException:  # the first image
+        known = row.limit(0)
+    fresh, rejected = merge.register_images(known, row)
+    if not rejected.isEmpty():
+        raise AlreadyRegistered(image_id)
+    fresh.write.mode("append").parquet(f"{out}/images")
+
+
 def ingest(
     spark: SparkSession,
     lines: str | ParsedEntries,
@@ -45,19 +74,22 @@ def ingest(
     bad: DataFrame,
     run_ts: str,
     out: str | None = None,
+    friendly_name: str | None = None,
 ) -> Ingested:
     """Parse entries, read their content from the image, digest it and mark known files.
 
-    Every parsed entry is kept, with or without extents. Rows without a valid key are rejected.
-    ``out`` names a folder to write the three datasets to.
+    Every parsed entry is kept, with or without extents, once for its key. Rows without a valid key are rejected, and runs that
+    can't be addressed are reported, while their entry stays. ``out`` names a folder to write the three datasets and the image's row of the registry to; an
+    image that is registered there is refused before anything is read.
     """
+    if out is not None:
+        register(spark, out, image_id, friendly_name, run_ts)
     parsed = read_entries(spark, lines) if isinstance(lines, str) else lines
     found = identify(parsed.good, image_id)
-    entries = found.where("entry_id is not null")
-    keyless = found.where("entry_id is null").select(
-        F.lit("no valid directory index").alias("reason"),
-        F.to_json(F.struct("path", "name", "dir_index")).alias("line"),
-    )
+    entries = one_per_key(found.where("entry_id is not null"))
+    line = F.to_json(F.struct("path", "name", "dir_index")).alias("line")
+    keyless = found.where("entry_id is null").select(F.lit("no valid directory index").alias("reason"), line)
+    keyless = keyless.unionByName(found.where("runs_overflow").select(F.lit("runs beyond 64 bits").alias("reason"), line))
     extents = content_op.extents_of(entries.withColumn("image", F.lit(image_uri)))
     extracted = materialize(content_op.extract_content(extents), "extracted")
     resident = content_op.content_hashes(entries.where("content is not null").select("entry_id", "content"))

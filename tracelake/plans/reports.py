@@ -33,8 +33,14 @@ def device_info(entries: DataFrame, images: DataFrame) -> DataFrame:
     return rows.select("image_id", F.inline(kv)).where("n is not null")
 
 
+def unregistered_entries(entries: DataFrame, images: DataFrame) -> DataFrame:
+    """Images that entries name but the registry lacks, with their entries and bytes: no report shows these."""
+    lost = entries.join(images.select("image_id").distinct(), "image_id", "left_anti")
+    return lost.groupBy("image_id").agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
+
+
 def volume_usage(entries: DataFrame, images: DataFrame) -> DataFrame:
-    """Used and unused bytes of an image and the rounded share in use."""
+    """Used and unused bytes of an image and the rounded share in use, which an image without bytes lacks."""
     used = entries.groupBy("image_id").agg(F.sum("size").alias("used"))
     rows = images.join(used, "image_id", "left").withColumn("used", F.coalesce("used", F.lit(0)))
     return rows.select(
@@ -42,7 +48,7 @@ def volume_usage(entries: DataFrame, images: DataFrame) -> DataFrame:
         F.col("size").alias("size"),
         "used",
         F.greatest(F.col("size") - F.col("used"), F.lit(0)).alias("unused"),
-        F.floor(F.col("used") * 100.0 / F.col("size") + 0.5).cast("bigint").alias("percent"),
+        F.floor(F.try_divide(F.col("used") * 100.0, F.col("size")) + 0.5).cast("bigint").alias("percent"),
     )
 
 

@@ -10,8 +10,14 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table above this many rows is never broadcast by this package.
-BROADCAST_ROWS = 500_000
+# A lookup table whose files are larger is never broadcast by this package.
+BROADCAST_BYTES = 16 << 20
+
+# Inputs up to this size are dealt to all cores for heavy work.
+SPREAD_BYTES = 256 << 20
+
+# Bytes of content for each task of work that reads files by their extents.
+TASK_BYTES = 256 << 20
 
 
 def build_session(app_name: str = "tracelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -80,39 +86,36 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition for work that is heavy per row, where partitions sized by bytes would be too few."""
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *keys)
+def tasks_for(spark: SparkSession, n_bytes: int) -> int:
+    """Tasks for work on so many bytes: ``TASK_BYTES`` each, and no fewer than there are cores."""
+    return max(spark.sparkContext.defaultParallelism, -(-int(n_bytes or 0) // TASK_BYTES))
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """An input of at most ``SPREAD_BYTES`` dealt to all cores, for work that is heavy per row.
+
+    A small input may be one file and so one task. A larger one has tasks enough and is left as it is read, so what is shuffled here is bounded.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys) if stored_bytes(df) <= SPREAD_BYTES else df
 
 
-def spread_if_few(df: DataFrame, *keys: str) -> DataFrame:
-    """The same for an input with fewer partitions than cores; a large input is left as it is read."""
-    few = df.rdd.getNumPartitions() < 2 * df.sparkSession.sparkContext.defaultParallelism
-    return spread(df, *keys) if few else df
+def stored_bytes(df: DataFrame) -> int:
+    """What the optimizer knows of a table's size; for a stored one, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def lookup_join(
     big: DataFrame,
     table: DataFrame,
     on: str | list[str],
-    spread_by: str,
     how: str = "inner",
-    max_broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 16,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``big`` to a stored lookup table; ``on`` may be heavily skewed in ``big``.
 
-    The table is counted first (cheap on a materialised table). Up to ``max_broadcast_rows`` it is
-    broadcast and ``big`` is not shuffled at all. Beyond that both sides shuffle on ``(on, salt)``:
-    rows of a hot key spread over ``salts`` tasks by ``spread_by`` and the table's rows are repeated
-    once per salt. Each row of ``big`` meets each of its table rows once either way, so inner and
-    left joins are right.
+    A table whose files have at most ``max_broadcast_bytes`` is broadcast, and ``big`` isn't shuffled. For a larger one both sides
+    are shuffled on the key, and adaptive execution splits what is too large for a task. No row of the table is copied.
     """
     on = [on] if isinstance(on, str) else on
-    if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return big.join(F.broadcast(table), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    small = stored_bytes(table) <= max_broadcast_bytes
+    return big.join(F.broadcast(table) if small else table, on, how)
