@@ -10,7 +10,7 @@ Pairs that meet are confirmed on their full sets. Texts with equal sets are one
 group of copies not all pairs are compared. First the shingles are counted that a node shares with no other node
 that has a key in common with any: of ``n`` shingles only the ``c`` others can be in an intersection, so nodes with ``c < 0.75 n``
 have no link at all, and two nodes none if ``7 min(c, c') < 3 (n + n')``. Then each key links its nodes to
-a pivot, the node with the least share of shingles of its own (mostly the text that the others are copies of), and to one drawn by a hash. Nodes
+a pivot, the node with the least share of shingles of its own (mostly the text that the others are copies of). Nodes
 under keys that still hold several components are grouped by their key's pivot and compared block by block, by counting all overlaps of a block's sets
 together; pairs are never rows.
 
@@ -93,18 +93,26 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             nodes.append(set_id(shingles))
             signatures.append(signature(shingles))
         signatures = np.array(signatures, dtype=np.uint16).reshape(-1, VALUES)
-        keys = chunk_keys(signatures).view(np.int64)
         yield pd.DataFrame(
             {
                 "doc_id": batch["doc_id"],
                 "n_shingles": pd.Series(counts, dtype="int64"),
                 "node": pd.Series(nodes, dtype="int64"),
                 "sig": [row.tobytes() for row in signatures],
-                "keys": list(keys),
             }
         )
 
 
+def _stored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each node and key."""
+    for batch in batches:
+        for at in range(0, len(batch), _BLOCK):
+            part = batch.iloc[at : at + _BLOCK]
+            keys = chunk_keys(np.frombuffer(b"".join(part["sig"]), dtype=np.uint16).reshape(-1, VALUES)).view(np.int64)
+            times = keys.shape[1]
+            yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), times), "n": np.repeat(part["n"].to_numpy(), times), "key": keys.ravel()})
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingle_set(text) for text in batch["text"]]
@@ -180,13 +188,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest ``doc_id`` reachable over links; ``kept`` marks that document.
     """
     found = materialize(
-        docs.select("doc_id", "text").mapInPandas(_describe, "doc_id long, n_shingles long, node long, sig binary, keys array<long>"), "minhash"
+        docs.select("doc_id", "text").mapInPandas(_describe, "doc_id long, n_shingles long, node long, sig binary"), "minhash"
     )
     real = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = materialize(
-        real.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), "nodes"
+        real.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "nodes"
     )
-    stored = nodes.select("node", "n", F.explode("keys").alias("key"))
+    stored = nodes.select("node", "n", "sig").mapInPandas(_stored, "node long, n long, key long")
     shared = stored.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key")
     members = materialize(stored.join(shared, "key"), "members")
     links = _links(docs, nodes, members)
@@ -234,15 +242,14 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
 
     of_key = F.struct("node", "n", "c")
     pivots = rows.groupBy("key").agg(
-        F.min_by(of_key, F.struct((1 - F.col("c") / F.col("n")).alias("own"), F.xxhash64("node"))).alias("p1"), F.min_by(of_key, F.xxhash64("node")).alias("p2")
+        F.min_by(of_key, F.struct((1 - F.col("c") / F.col("n")).alias("own"), F.xxhash64("node"))).alias("p")
     )
-    first_pivots = pivots.select("key", F.col("p1.node").alias("pivot"))
-    pivots = pivots.select("key", F.explode(F.array_distinct(F.array("p1", "p2"))).alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}2") for c in ("node", "n", "c")))
+    pivots = pivots.select("key", *(F.col(f"p.{c}").alias(f"{c}2") for c in ("node", "n", "c")))
     links = confirmed(as_pairs(rows.join(pivots, "key").where((F.col("node") != F.col("node2")) & _may_link())))
     state = rows.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     state = materialize(state.select("key", "node", "n", "comp"), "state")
     open_keys = state.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    groups = state.join(open_keys, "key", "left_semi").join(first_pivots, "key").select("pivot", "node", "n", "comp").distinct()
+    groups = state.join(open_keys, "key", "left_semi").join(pivots.select("key", F.col("node2").alias("pivot")), "key").select("pivot", "node", "n", "comp").distinct()
     return links.unionByName(_links_between(materialize(groups, "groups"), sets))
 
 
