@@ -25,7 +25,21 @@ _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    small_batches(found)
+    return found
+
+
+#: Rows that go to a Python worker at once. Whole texts are long, so Spark's default would fill a worker's memory; results don't depend on it.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """Have the session send at most ``BATCH_ROWS`` rows at once; a smaller setting stays."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import components, mix, word_hashes, word_windows
+from .common import components, mix, small_batches, word_hashes, word_windows
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ``component_id`` is the smallest ``doc_id`` reachable over links; ``kept`` marks that document.
     """
+    small_batches(docs)
     found = materialize(
         docs.select("doc_id", "text").mapInPandas(_describe, "doc_id long, n_shingles long, node long, sig binary"), "minhash"
     )

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, span_hashes
+from .common import BYTE_VALUES, small_batches, span_hashes
 
 LENGTH = 50
 GRAM = 20
@@ -93,46 +93,52 @@ def _bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
-def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """The batch in slices of about ``SLICE_BYTES`` of text."""
-    size = np.cumsum([len(t) if isinstance(t, str) else 0 for t in batch["text"]])
-    number = size // SLICE_BYTES + np.arange(len(batch)) // _BATCH_ROWS
-    cuts = np.concatenate((np.zeros(1, dtype=np.int64), np.flatnonzero(np.diff(number)) + 1, [len(batch)]))
-    for at, end in zip(cuts[:-1], cuts[1:], strict=True):
-        yield batch.iloc[at:end]
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in batches of about ``SLICE_BYTES`` of text."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        for at in range(0, len(batch), _BATCH_ROWS):
+            part = batch.iloc[at : at + _BATCH_ROWS]
+            n = sum(len(t) for t in part["text"] if isinstance(t, str))
+            if held and (size + n > SLICE_BYTES or rows + len(part) > _BATCH_ROWS):
+                yield pd.concat(held, ignore_index=True)
+                held, size, rows = [], 0, 0
+            held.append(part)
+            size, rows = size + n, rows + len(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def _deal_anchors(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A row for each batch and bucket: an entry for each anchor hash, and hits already sure."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for batch in _slices(whole):
-                ids = batch["doc_id"].to_numpy(dtype=np.int64)
-                found = []
-                for i, text in enumerate(batch["text"]):
-                    hashes = anchors(np.frombuffer(_bytes(text), dtype=np.uint8))[1]
-                    found.append((hashes & ~np.uint64(0xFFFF)) | np.uint64(i))
-                entries = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
-                if not len(entries):
+        for batch in _slices(batches):
+            ids = batch["doc_id"].to_numpy(dtype=np.int64)
+            found = []
+            for i, text in enumerate(batch["text"]):
+                hashes = anchors(np.frombuffer(_bytes(text), dtype=np.uint8))[1]
+                found.append((hashes & ~np.uint64(0xFFFF)) | np.uint64(i))
+            entries = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
+            if not len(entries):
+                continue
+            hashes = entries >> np.uint64(16)
+            new = np.concatenate((np.ones(1, dtype=bool), hashes[1:] != hashes[:-1]))
+            several = ~new
+            several[:-1] |= ~new[1:]
+            cuts = np.searchsorted(entries, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, dtype=np.int64)
+            cuts = np.append(cuts, len(entries))
+            rows, all_ids = {"bucket": [], "entries": [], "ids": [], "hits": []}, packed(ids)
+            for bucket in range(1 << bits):
+                part = slice(cuts[bucket], cuts[bucket + 1])
+                if part.start == part.stop:
                     continue
-                hashes = entries >> np.uint64(16)
-                new = np.concatenate((np.ones(1, dtype=bool), hashes[1:] != hashes[:-1]))
-                several = ~new
-                several[:-1] |= ~new[1:]
-                cuts = np.searchsorted(entries, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, dtype=np.int64)
-                cuts = np.append(cuts, len(entries))
-                rows, all_ids = {"bucket": [], "entries": [], "ids": [], "hits": []}, packed(ids)
-                for bucket in range(1 << bits):
-                    part = slice(cuts[bucket], cuts[bucket + 1])
-                    if part.start == part.stop:
-                        continue
-                    sure = entries[part][several[part]]
-                    rows["bucket"].append(bucket)
-                    rows["entries"].append(packed(entries[part][new[part]]))
-                    rows["ids"].append(all_ids)
-                    rows["hits"].append(packed(sure))
-                yield pd.DataFrame(rows)
+                sure = entries[part][several[part]]
+                rows["bucket"].append(bucket)
+                rows["entries"].append(packed(entries[part][new[part]]))
+                rows["ids"].append(all_ids)
+                rows["hits"].append(packed(sure))
+            yield pd.DataFrame(rows)
 
     return deal
 
@@ -164,7 +170,7 @@ def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
     """
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (part for whole in batches for part in _slices(whole)):
+        for batch in _slices(batches):
             parts = []
             for i, (text_id, text, shared, copies) in enumerate(zip(batch["text_id"], batch["text"], batch["hashes"], batch["copies"], strict=True)):
                 if copies is not None and text_id in copies:
@@ -387,6 +393,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def marks(docs: DataFrame) -> DataFrame:
     """For each id with repeats ``doc_id, marks, mark_texts``: a mark as in ``_mark``, or ``_WHOLE``, and the text it is for, 0 standing for the only text with the id."""
+    small_batches(docs)
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(2, math.ceil(math.log2(max(1, total / BUCKET_BYTES))))
