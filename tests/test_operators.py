@@ -215,11 +215,13 @@ def test_canopy_seeds_equal_the_sequential_rule(spark):
     assert len(want) > 5 and got == want
 
 
-def test_kmeans_against_dense(spark):
+def test_kmeans_against_dense(spark, monkeypatch):
     vectors, dense = vectors_of(spark)
     seeds = sequential_seeds(dense, 0.65)
     centres = np.array([dense[1 - dense @ dense[s] < 0.65].mean(axis=0) for s in seeds])
+    monkeypatch.setattr(cluster, "BLOCK_VECTORS", 70)
     entries, nearest = cluster.canopy(vectors)
+    assert nearest.count() == len(dense)
     n, number = len(seeds), {c: k for k, c in enumerate(seeds)}
     assert {r.c for r in entries.select("c").distinct().collect()} == set(seeds)
     got = np.zeros_like(centres)
@@ -235,7 +237,7 @@ def test_kmeans_against_dense(spark):
         if (shift <= 0.01).all():
             break
     unit = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-    assigned, final = cluster.kmeans(vectors, entries, nearest, convergence=0.01)
+    assigned, final = cluster.kmeans(vectors, entries, convergence=0.01)
     distance = 1 - dense @ unit.T
     for r in assigned.collect():
         assert distance[r.id, number[r.c]] == pytest.approx(distance[r.id].min()) and r.distance == pytest.approx(distance[r.id, number[r.c]])

@@ -45,7 +45,7 @@ def analyse(
     weights, kept = text.weighted_terms(vectors)
     terms = materialize(text.dictionary(kept), "dictionary")
     points = cluster.document_vectors(weights, terms)
-    assignments, centres = cluster.kmeans(points, *cluster.canopy(points))
+    assignments, centres = cluster.kmeans(points, cluster.canopy(points)[0])
     topics = materialize(cluster.cluster_topics(assignments, centres, terms), "topics")
 
     names = images.select(F.col("image_id").alias("id"), F.col("friendly_name").alias("a"))
