@@ -24,6 +24,7 @@ one id never remove from each other; texts shorter than ``LENGTH`` stay whole; o
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import math
 from collections.abc import Callable, Iterator
@@ -40,8 +41,8 @@ LENGTH = 50
 GRAM = 20
 SPREAD = LENGTH - GRAM  # a string's anchor starts at most so many bytes after it
 #: Text for each bucket of anchors. Sets the number of buckets; results don't depend on it.
-BUCKET_BYTES = 16 << 20
-PIECE_BUCKETS = 16  # buckets of pieces for each bucket of anchors
+BUCKET_BYTES = 4 << 20
+PIECE_BUCKETS = 4  # buckets of pieces for each bucket of anchors
 SHARD_PIECES = 30_000
 #: Text from which hashes or pieces are gathered before they are sent; bounds a worker's memory, results don't depend on it.
 SLICE_BYTES = 8 << 20
@@ -77,6 +78,14 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return place[first], gram[place[first]], first, last
 
 
+def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
+    """Gives what a group's arrays have left free back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+    return rows
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers as a small blob: differences, split into planes of bytes, compressed."""
     step = np.diff(values, prepend=values[:1] * 0)
@@ -114,6 +123,7 @@ def _deal_anchors(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _slices(batches):
+            batch = batch.sort_values("doc_id")  # ids in order make the smaller blob
             ids = batch["doc_id"].to_numpy(dtype=np.int64)
             found = []
             for i, text in enumerate(batch["text"]):
@@ -158,9 +168,9 @@ def _shared_anchors(bucket: pd.DataFrame) -> pd.DataFrame:
     same = np.zeros(len(hashes), dtype=bool)
     same[1:] = hashes[1:] == hashes[:-1]
     same[:-1] |= same[1:]
-    return pd.DataFrame(
-        {"doc_id": np.concatenate([docs[same], *sure_ids]), "h": np.concatenate([hashes[same], *sure_entries]).astype(np.uint32).view(np.int32)}
-    )
+    found = {"doc_id": np.concatenate([docs[same], *sure_ids]), "h": np.concatenate([hashes[same], *sure_entries]).astype(np.uint32).view(np.int32)}
+    del entries, ids, sure_entries, sure_ids, hashes, docs, order
+    return _trimmed(pd.DataFrame(found))
 
 
 def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -320,7 +330,9 @@ def _mark(bucket: pd.DataFrame) -> pd.DataFrame:
     earlier = least[piece] < docs[:, None]
     mask = (earlier * (1 << np.arange(SPREAD + 1))).sum(axis=1)
     hit = mask > 0
-    return pd.DataFrame({"doc_id": docs[hit], "text_id": texts[hit], "mark": starts[hit].astype(np.int64) << 31 | mask[hit]})
+    found = pd.DataFrame({"doc_id": docs[hit], "text_id": texts[hit], "mark": starts[hit].astype(np.int64) << 31 | mask[hit]})
+    del pieces, uses, size, data, piece, docs, texts, starts, ends, least, earlier, mask
+    return _trimmed(found)
 
 
 def _least_by_string(data: np.ndarray, begin: np.ndarray, size: np.ndarray, docs: np.ndarray) -> np.ndarray:
