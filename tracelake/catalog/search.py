@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import search as op
-from ..sources import make_patterns
+from ..session import scratch_path
+from ..sources import load_patterns, make_patterns
 from ..sources.patterns import Pattern
 from . import views as v
 
@@ -48,7 +49,23 @@ def search_hits_page(spark, sf):
     return op.report_page(rows, ["fP", "a", "p"], page=1)
 
 
+# Words of the pattern file: the most frequent ones of at least four letters.
+FILE_WORDS = 120
+
+
+def file_patterns(spark, sf):
+    """A pattern file of many lines, written and read again; every line is one of the documents' own words."""
+    docs = v.documents(spark, sf, heavy=True).select("text")
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    top = words.orderBy(F.desc("n"), "w").limit(FILE_WORDS).select(F.concat("w", F.lit("[a-z]*")).alias("value"))
+    path = scratch_path(spark, "patterns")
+    top.orderBy("value").coalesce(1).write.text(path)
+    counts = op.grep_counts(docs, load_patterns(spark, path))
+    return counts.select("kw", "n")
+
+
 QUERIES = {
+    "file_patterns": file_patterns,
     "grep_hits": grep_hits,
     "grep_counts": grep_counts,
     "grep_counts_stored": lambda s, d: op.hit_counts(with_hits(s, d), patterns(s)),
@@ -73,6 +90,10 @@ def _pattern_hits(a: int, p: str) -> str:
 _HITS = f"WITH {v.ENTRIES_SQL}, h AS (" + " UNION ALL ".join(_pattern_hits(a, p) for a, p in _VALID.items()) + ") "
 
 ORACLES = {
+    "file_patterns": f"""WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS w FROM documents),
+      t AS (SELECT w || '[a-z]*' AS kw, count(*) AS n FROM w GROUP BY w ORDER BY n DESC, w LIMIT {FILE_WORDS}),
+      c AS (SELECT kw, sum(len(regexp_extract_all(text, kw))) AS n FROM documents, t GROUP BY kw)
+      SELECT kw, CAST(n AS BIGINT) AS n FROM c WHERE n > 0""",
     "grep_hits": _HITS
     + """, g AS (SELECT doc_id, count(*) AS n, string_agg(a || ':' || p, '|' ORDER BY a, i) AS hits FROM h GROUP BY doc_id)
       SELECT entry_id, coalesce(n, 0) AS n, coalesce(hits, '') AS hits FROM e LEFT JOIN g USING (doc_id) WHERE text <> ''""",

@@ -6,6 +6,8 @@ nothing is shuffled: each document keeps its hits in its own row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +65,25 @@ def _hits_of(pattern: Pattern, matches: Column, parts: Column) -> Column:
     )
 
 
+# Patterns that one combined pattern stands for in the test whether a text can have a hit at all.
+GROUP = 32
+
+# Combining numbers groups anew and carries flags over, so patterns with references, names or flags stay alone.
+_NOT_COMBINED = re.compile(r"\\[1-9k]|\(\?[<a-zA-Z-]|\\[QE]")
+
+
+def _guards(patterns: list[Pattern], text: str) -> dict[int, Column]:
+    """For each pattern's number a test that every text with a hit passes: one for each group of patterns, made of their alternatives."""
+    together = [p for p in patterns if not _NOT_COMBINED.search(p.kw)]
+    guards = {p.a: F.lit(True) for p in patterns}
+    for at in range(0, len(together), GROUP):
+        part = together[at : at + GROUP]
+        if len(part) > 1:
+            any_of = F.col(text).rlike("|".join(f"(?:{p.kw})" for p in part))
+            guards |= {p.a: any_of for p in part}
+    return guards
+
+
 def grep_hits(texts: DataFrame, patterns: list[Pattern], text: str = "text") -> DataFrame:
     """Add ``hits``, an array of ``(a, p)``: pattern number and the match with its context.
 
@@ -89,7 +110,12 @@ def grep_hits(texts: DataFrame, patterns: list[Pattern], text: str = "text") ->
         cut = F.col(f"_c.p{p.a}")
         return F.when(F.size(cut) == F.size(matches(p)), F.concat(F.array(F.lit("")), cut)).otherwise(cut)
 
-    out = once(out, "_m", each(lambda p: F.regexp_extract_all(text, F.lit(p.kw), F.lit(0))))
+    guards = _guards(valid, text)
+    tests = list({id(g): g for g in guards.values()}.values())
+    number = {id(g): i for i, g in enumerate(tests)}
+    out = once(out, "_g", F.struct(*[g.alias(f"g{i}") for i, g in enumerate(tests)]))
+    found = lambda p: F.regexp_extract_all(text, F.lit(p.kw), F.lit(0))
+    out = once(out, "_m", each(lambda p: F.when(F.col(f"_g.g{number[id(guards[p.a])]}"), found(p)).otherwise(F.array().cast("array<string>"))))
     out = once(out, "_c", each(lambda p: F.when(F.size(matches(p)) > 0, F.split(text, p.kw, -1))))
     out = once(out, "_q", each(lambda p: F.when(F.size(matches(p)) > 0, parts(p))))
     hits = [
@@ -104,8 +130,15 @@ def grep_counts(texts: DataFrame, patterns: list[Pattern], text: str = "text") -
     valid = [p for p in patterns if p.valid]
     if not valid:
         return pattern_frame(texts.sparkSession, []).selectExpr("a", "cast(0 as bigint) n", "kw")
-    totals = texts.where(F.length(text) > 0).agg(
-        *[F.sum(F.regexp_count(text, F.lit(p.kw)).cast("bigint")).alias(f"_n{p.a}") for p in valid]
+    guards = _guards(valid, text)
+    tests = list({id(g): g for g in guards.values()}.values())
+    number = {id(g): i for i, g in enumerate(tests)}
+    guarded = once(texts.where(F.length(text) > 0).select(text), "_g", F.struct(*[g.alias(f"g{i}") for i, g in enumerate(tests)]))
+    totals = guarded.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col(f"_g.g{number[id(guards[p.a])]}"), F.regexp_count(text, F.lit(p.kw))).cast("bigint")), F.lit(0)).alias(f"_n{p.a}")
+            for p in valid
+        ]
     )
     rows = F.array(
         *[
@@ -120,7 +153,7 @@ def hit_counts(with_hits: DataFrame, patterns: list[Pattern]) -> DataFrame:
     """The same counts from stored hits."""
     labels = pattern_frame(with_hits.sparkSession, patterns)
     counts = with_hits.select(F.explode("hits.a").alias("a")).groupBy("a").agg(F.count("*").alias("n"))
-    # As many label rows as patterns, which make_patterns limits.
+    # As many label rows as patterns, which the plan holds one by one anyway.
     return counts.join(F.broadcast(labels), "a").select("a", "n", "kw").orderBy("a")
 
 
@@ -136,9 +169,11 @@ def search_hits(with_hits: DataFrame, patterns: list[Pattern]) -> DataFrame:
 def has_hit(patterns: list[Pattern], text: str = "text") -> Column:
     """True for texts that some pattern matches; each pattern stops at its first match."""
     found = F.lit(False)
-    for p in patterns:
-        if p.valid:
-            found = found | F.col(text).rlike(p.kw)
+    valid = [p for p in patterns if p.valid]
+    together = [p.kw for p in valid if not _NOT_COMBINED.search(p.kw)]
+    alone = [p.kw for p in valid if _NOT_COMBINED.search(p.kw)]
+    for kw in ["|".join(f"(?:{kw})" for kw in together[at : at + GROUP]) for at in range(0, len(together), GROUP)] + alone:
+        found = found | F.col(text).rlike(kw)
     return (F.length(text) > 0) & found
 
 

@@ -8,9 +8,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Patterns become part of the query plan, so their number is limited; more is an error.
-MAX_PATTERNS = 10_000
-
 
 class Pattern(NamedTuple):
     a: int
@@ -29,15 +26,22 @@ def _compiles(spark: SparkSession, texts: list[str]) -> bool:
 def make_patterns(spark: SparkSession, lines: list[str]) -> list[Pattern]:
     """Number the non-blank lines from 0. An invalid one keeps its number but never matches."""
     texts = [t for t in lines if t != ""]
-    all_valid = not texts or _compiles(spark, texts)
-    return [Pattern(i, t, all_valid or _compiles(spark, [t])) for i, t in enumerate(texts)]
+    valid = {t for at in range(0, len(texts), 100) for t in _valid(spark, texts[at : at + 100])}
+    return [Pattern(i, t, t in valid) for i, t in enumerate(texts)]
+
+
+def _valid(spark: SparkSession, texts: list[str]) -> list[str]:
+    """The patterns that compile; a list with a bad one is halved until the bad ones stand alone."""
+    if not texts or _compiles(spark, texts):
+        return texts
+    half = len(texts) // 2
+    return _valid(spark, texts[:half]) + _valid(spark, texts[half:]) if half else []
 
 
 def load_patterns(spark: SparkSession, path: str) -> list[Pattern]:
-    rows = spark.read.text(path, wholetext=True).limit(MAX_PATTERNS + 1).collect()
+    """The lines of the files under ``path``, file by file. Patterns are part of the plan of a search, so the driver holds the list."""
+    rows = spark.read.text(path, wholetext=True).collect()
     lines = [line for row in rows for line in row.value.split("\n")]
-    if len(lines) > MAX_PATTERNS:
-        raise ValueError(f"{path} holds more than {MAX_PATTERNS} lines")
     return make_patterns(spark, [line.rstrip("\r") for line in lines])
 
 
