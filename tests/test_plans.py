@@ -8,8 +8,11 @@ import pytest
 
 from tracelake import sinks
 from tracelake.operators import known, scripting
+from tracelake.operators.content import load_content
+from tracelake.operators.search import grep_counts
+from tracelake.operators.text import extract_text
 from tracelake.plans.analysis import analyse
-from tracelake.plans.ingest import ingest
+from tracelake.plans.ingest import AlreadyRegistered, ingest
 from tracelake.plans.reports import column_max, csv_lines
 from tracelake.sources import make_patterns, scan_entries
 from tracelake.streaming import stream_entries, write_stream
@@ -128,6 +131,39 @@ def test_writers(spark, tmp_path):
     assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_large_files_are_searched_and_repeats_count_once(spark, tmp_path):
+    big = b"x" * 1_500_000 + b" needle " + b"y" * 300_000
+    half = 700 * BLOCK
+    image = bytes(BASE) + big[half:].ljust(-(-len(big[half:]) // BLOCK) * BLOCK, b"\0") + big[:half]
+    (tmp_path / "disk.raw").write_bytes(image)
+    second = -(-len(big[half:]) // BLOCK)
+    runs = [{"flags": 0, "addr": second, "offset": 0, "len": 700}, {"flags": 0, "addr": 0, "offset": 700, "len": second}]
+
+    def line(name, index, runs):
+        attr = {"flags": 1, "id": 1, "name": "$Data", "type": 128, "nrd_runs": runs}
+        meta = {"size": len(big), "mtime": 1000}
+        return json.dumps({"path": "/d", "name": {"name": name, "dirIndex": index, "type": 5}, "meta": meta, "fs": {"byteOffset": BASE, "fsID": "v", "blockSize": BLOCK}, "attrs": [attr]})
+
+    huge = [{"flags": 0, "addr": 2**62, "offset": 0, "len": 1}]
+    negative = [{"flags": 0, "addr": -900, "offset": 0, "len": 1}]
+    lines = [line("big.txt", 1, runs), line("big.txt", 1, runs), line("huge.txt", 2, huge), line("low.txt", 3, negative)]
+    (tmp_path / "entries.json").write_text("\n".join(lines) + "\n")
+    nothing = spark.createDataFrame([], "hash_type string, hash string")
+    args = (spark, str(tmp_path / "entries.json"), IMAGE_ID, str(tmp_path / "disk.raw"), nothing, nothing, "2024-01-01 00:00:00", str(tmp_path / "out"))
+    done = ingest(*args)
+    rows = {r.name: r for r in done.entries.select("name", "content", "md5", "problem").collect()}
+    assert len(rows) == done.entries.count() == 3 and rows["big.txt"].content is None and rows["big.txt"].md5 == hashlib.md5(big).hexdigest()
+    assert rows["low.txt"].problem and rows["huge.txt"].md5 is None
+    assert [r.reason for r in done.rejects.collect()] == ["runs beyond 64 bits"]
+    assert done.file_hashes.where("hash_type = 'md5'").count() == 2
+    loaded = load_content(done.entries.select("name", "size", "content", "extents", "image_uri")).where("name = 'big.txt'")
+    assert bytes(loaded.first().content) == big
+    hits = grep_counts(extract_text(loaded).select("text"), make_patterns(spark, ["needle"])).collect()
+    assert [(h.kw, h.n) for h in hits] == [("needle", 1)]
+    with pytest.raises(AlreadyRegistered):
+        ingest(*args)
+
+
 @pytest.mark.parametrize("top, limit", [(0, 100), (40, 100), (100, 200), (101, 202)])
 def test_axis_limit(spark, top, limit):
     assert column_max(spark.createDataFrame([(top,)], "n bigint")).first()["limit"] == limit

@@ -162,6 +162,44 @@ def extract_content(extents: DataFrame) -> DataFrame:
     return placed.mapInPandas(run, EXTRACTED)
 
 
+def load_content(entries: DataFrame, content: str = "content") -> DataFrame:
+    """``entries`` with all content in the row; its columns ``extents`` and ``image_uri`` are used up.
+
+    Content that ``keep_inline`` left in the image is read by its extents, in address order, by tasks of about ``TASK_BYTES``. Batches are bounded by
+    bytes, so a task holds one large file at a time. A file is one row, since a match of a pattern may lie anywhere in it. Narrow the columns before:
+    what is in the row passes through Python.
+    """
+    kept = [c for c in entries.columns if c not in ("extents", "image_uri")]
+    schema = entries.select(*kept).schema
+    away = F.coalesce(F.col(content).isNull() & (F.size("extents") > 0) & (F.col("size") > 0) & F.col("image_uri").isNotNull(), F.lit(False))
+    far = entries.where(away).withColumn("_addr", F.get("extents", F.lit(0))["addr"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        uri, image, out, held = None, None, [], 0
+        try:
+            for frame in frames:
+                for row in frame.to_dict("records"):
+                    if row["image_uri"] != uri:
+                        if image is not None:
+                            image.close()
+                        uri, image = row["image_uri"], open_image(row["image_uri"])
+                    data = b"".join(_read_extents(image, row["extents"], row["size"]))
+                    out.append([data if c == content else row[c] for c in kept])
+                    held += len(data)
+                    if held > _BATCH_BYTES:
+                        yield pd.DataFrame(out, columns=kept)
+                        out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=kept)
+        finally:
+            if image is not None:
+                image.close()
+
+    n = tasks_for(entries.sparkSession, far.agg(F.sum("size")).first()[0])
+    read = far.repartitionByRange(n, "image_uri", "_addr").sortWithinPartitions("image_uri", "_addr").mapInPandas(run, schema)
+    return entries.where(~away).select(*kept).unionByName(read)
+
+
 def extract_stats(extracted: DataFrame) -> DataFrame:
     """Counters of an extraction run."""
     return extracted.agg(

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cluster, known, search, similarity, text
+from ..operators import cluster, content, known, search, similarity, text
 from ..session import materialize
 from ..sinks import write_report
 from ..sources import Pattern, scan_entries
@@ -29,12 +29,13 @@ def analyse(
     patterns: list[Pattern],
     out: str | None = None,
 ) -> Reports:
-    """Run all steps for one image. ``entries`` needs ``content`` and the ``nsrl`` flag.
+    """Run all steps for one image. ``entries`` is what ``ingest`` stores; large files are read from the image again.
 
     Search results are stored once and feed counts, hit rows and clustering. ``out`` names a folder
     for the report datasets (JSON lines).
     """
-    mine = known.not_known_good(scan_entries(entries, image_id)).select("entry_id", "path", "name", "content")
+    mine = known.not_known_good(scan_entries(entries, image_id)).select("entry_id", "path", "name", "size", "content", "extents", "image_uri")
+    mine = content.load_content(mine)
     texts = text.extract_text(mine).where("not failed").select("entry_id", "path", "name", "text")
     hits = materialize(search.grep_hits(texts, patterns), "hits")
 

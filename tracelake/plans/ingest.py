@@ -86,11 +86,11 @@ def ingest(
         register(spark, out, image_id, friendly_name, run_ts)
     parsed = read_entries(spark, lines) if isinstance(lines, str) else lines
     found = identify(parsed.good, image_id)
-    entries = one_per_key(found.where("entry_id is not null"))
+    entries = one_per_key(found.where("entry_id is not null")).withColumn("image_uri", F.lit(image_uri))
     line = F.to_json(F.struct("path", "name", "dir_index")).alias("line")
     keyless = found.where("entry_id is null").select(F.lit("no valid directory index").alias("reason"), line)
     keyless = keyless.unionByName(found.where("runs_overflow").select(F.lit("runs beyond 64 bits").alias("reason"), line))
-    extents = content_op.extents_of(entries.withColumn("image", F.lit(image_uri)))
+    extents = content_op.extents_of(entries.withColumnRenamed("image_uri", "image"))
     extracted = materialize(content_op.extract_content(extents), "extracted")
     resident = content_op.content_hashes(entries.where("content is not null").select("entry_id", "content"))
     from_image = extracted.select(F.col("id").alias("entry_id"), "content", "md5", "sha1", "problem")

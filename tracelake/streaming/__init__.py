@@ -16,6 +16,14 @@ def stream_entries(spark: SparkSession, folder: str, image_id: str) -> DataFrame
     return identify(parse_entry_lines(lines).good, image_id).where("entry_id is not null")
 
 
+def stream_rejects(spark: SparkSession, folder: str, image_id: str) -> DataFrame:
+    """``reason, line`` of what ``stream_entries`` leaves out, as the batch job reports it."""
+    parsed = parse_entry_lines(spark.readStream.text(folder))
+    keyless = identify(parsed.good, image_id).where("entry_id is null")
+    line = F.to_json(F.struct("path", "name", "dir_index")).alias("line")
+    return parsed.rejects.select("reason", "line").unionByName(keyless.select(F.lit("no valid directory index").alias("reason"), line))
+
+
 def write_stream(entries: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to the entries table, one folder per image; takes what is there and stops."""
     return (
