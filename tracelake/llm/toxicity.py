@@ -1,9 +1,9 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples under TF-IDF cosine over selected terms, exact over those.
 
 Terms are words (runs of letters, A-Z lower-cased; bytes from 80 on count as letters) and the first four bytes of each longer
 word. A bounded sample of labelled rows, ``EXAMPLES_PER_LABEL`` of each label in the order of a hash of the id,
 gives the vocabulary (terms whose share differs between the labels by more than ``MIN_Z`` standard
-deviations and at least ``MIN_RATIO`` times, ``VOCABULARY`` at most), the inverse document frequencies and the examples. The examples
+deviations, ``VOCABULARY`` at most), the inverse document frequencies and the examples. Other terms count neither in products nor in lengths. The examples
 stand in a block-max inverted index: for each term and block of examples the largest weight is kept, so blocks
 that cannot reach the k-th best cosine are never opened, and the neighbours found are exact.
 
@@ -31,7 +31,6 @@ from .common import byte_blocks, lower_values, runs, span_hashes
 EXAMPLES_PER_LABEL = 3000
 VOCABULARY = 1024
 MIN_Z = 5.0
-MIN_RATIO = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIX = 4
@@ -61,17 +60,17 @@ class BlockMaxIndex:
     terms: np.ndarray  # of each posting, ascending
     slots: np.ndarray
     weights: np.ndarray
-    cuts: np.ndarray = field(init=False)
     most: np.ndarray = field(init=False)
+    tiles: np.ndarray = field(init=False)  # the weights of a term in a block, side by side
     opened: int = field(default=0, init=False)
 
     def __post_init__(self) -> None:
         size = int(self.terms.max()) + 1 if len(self.terms) else 1
         blocks = -(-self.n // BLOCK)
-        cell = self.terms * blocks + self.slots // BLOCK
-        self.cuts = np.searchsorted(cell, np.arange(size * blocks + 1))
         self.most = np.zeros((size, blocks))
         np.maximum.at(self.most, (self.terms, self.slots // BLOCK), self.weights)
+        self.tiles = np.zeros((size, blocks, BLOCK))
+        self.tiles[self.terms, self.slots // BLOCK, self.slots % BLOCK] = self.weights
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Slots and cosines of the k nearest, by cosine and then slot; only cosines above 0."""
@@ -79,18 +78,24 @@ class BlockMaxIndex:
         terms, weights = terms[known], weights[known]
         bounds = weights @ self.most[terms] * (1 + 1e-9)
         slots, scores, worst = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        blocks = self.most.shape[1]
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(slots) == k and bounds[block] < worst:
+        order = np.argsort(-bounds, kind="stable")
+        at, step = 0, 1
+        while at < len(order):
+            group = order[at : at + step]
+            group = group[(bounds[group] > 0) & ((bounds[group] >= worst) | (len(slots) < k))]
+            if not len(group):
                 break
-            self.opened += 1
-            sums = np.zeros(BLOCK)
+            at, step = at + step, 2 * step  # few calls when the bounds of many blocks are close
+            self.opened += len(group)
+            sums = np.zeros((len(group), BLOCK))
             for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                at, end = self.cuts[t * blocks + block], self.cuts[t * blocks + block + 1]
-                sums[self.slots[at:end] - block * BLOCK] += w * self.weights[at:end]
-            hit = np.flatnonzero(sums > 0)
-            hit = hit[hit + block * BLOCK != without]
-            slots, scores = np.concatenate((slots, hit + block * BLOCK)), np.concatenate((scores, sums[hit]))
+                sums += w * self.tiles[t, group]
+            there = (group[:, None] * BLOCK + np.arange(BLOCK))[sums > 0]
+            sums = sums[sums > 0]
+            slots, scores = np.concatenate((slots, there[there != without])), np.concatenate((scores, sums[there != without]))
+            if len(slots) > k:
+                near = scores >= np.partition(scores, -k)[-k]
+                slots, scores = slots[near], scores[near]
             best = np.lexsort((slots, -scores))[:k]
             slots, scores = slots[best], scores[best]
             worst = scores[-1] if len(scores) else 0.0
@@ -195,8 +200,7 @@ def _model(rows: list, share: float) -> ToxicityModel:
     with_zero = np.bincount(inverse[labels[owner] == 0], minlength=len(every)) / zeros
     mean = (with_one * ones + with_zero * zeros) / (ones + zeros)
     z = np.abs(with_one - with_zero) / np.sqrt(mean * (1 - mean) * (1 / ones + 1 / zeros) + 1e-12)
-    ratio = (with_one + 1 / ones) / (with_zero + 1 / zeros)
-    chosen = np.flatnonzero((z > MIN_Z) & (np.maximum(ratio, 1 / ratio) >= MIN_RATIO))
+    chosen = np.flatnonzero(z > MIN_Z)
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:VOCABULARY]])
     if not len(chosen):
         return nothing
