@@ -201,6 +201,17 @@ def test_mined_rules_are_those_of_counting(spark):
         assert index.best(tokens) == (min(fits) if fits else None)
 
 
+def test_every_labelled_page_counts(spark):
+    # One pattern with numbers holds a third of the labelled pages; each of the others has a pattern of its own.
+    urls = [f"http://q.net/es/{i}" for i in range(300)] + [f"http://s{i}.com/w{i}" for i in range(600)]
+    pages = spark.createDataFrame([*enumerate(urls), (900, "http://q.org/es/7")], "page_id long, url string")
+    labelled = [(["host0=net", "host1=q", "path0=es", "path1=#"], "block")] * 300 + [([f"host1=s{i}", "host0=com"], "allow") for i in range(600)]
+    rules = url_filter.mine(spark.createDataFrame(labelled, "tokens array<string>, label string"), each_row=True)
+    assert {(t, label, c, round(s, 9)) for t, label, c, s in rules} >= {(("path0=es",), "block", 1.0, round(1 / 3, 9)), (("host0=com",), "allow", 1.0, round(2 / 3, 9))}
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    assert got[900] == "block" and got[0] == "block" and got[300] == "allow"
+
+
 def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b))
 

@@ -2,7 +2,7 @@
 
 A URL is a set of tokens: each label of its host with its distance from the end, each segment of its path (numbers are one token), its file
 ending, each part of its query, and whether it has a fragment. The longest explicit rule (host and path prefix) that fits decides. The URLs
-that some explicit rule fits are also the labelled examples. Their different token sets, each with its label, are mined by FP-growth;
+that some explicit rule fits are also the labelled examples. Their token sets, each with its label and one for each page, are mined by FP-growth;
 combinations of up to ``MAX_TOKENS`` tokens that come with a label often enough (``MIN_SUPPORT``, ``MIN_CONFIDENCE``) become rules, and
 those to which a part of their tokens gives the same label with at least their confidence are pruned.
 
@@ -11,7 +11,7 @@ without any, ``DEFAULT``. The rules stand in an inverted index: each token count
 
 For mining, a URL has its ``MINED_TOKENS`` most telling tokens, by how far the share of labels with the token is from the share overall; so a set of
 tokens has a bounded number of combinations, and the rules are at most that number divided by ``MIN_SUPPORT``, however many rows there
-are. Matching uses all tokens. Repeated URLs, however frequent, are one example.
+are. Matching uses all tokens. A repeated URL, or a pattern of which only the numbers differ, counts once for each of its pages.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and the one token ``none``; without labelled URLs no rule is mined and ``DEFAULT``
 decides; a URL that explicit rules of equal length fit gets the first of them by name; repeated rows are judged each; other columns are ignored.
@@ -84,16 +84,20 @@ def explicit_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def mine(examples: DataFrame) -> list[tuple[tuple[str, ...], str, float, float]]:
-    """``tokens, label, confidence, support`` of the rules of ``examples`` (``tokens, label``), best first."""
-    sets = materialize(examples.distinct(), "url_examples")
-    n = sets.count()
+def mine(examples: DataFrame, each_row: bool = False) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """``tokens, label, confidence, support`` of the rules of ``examples`` (``tokens, label``), best first.
+
+    Shares are of the rows with ``each_row``, of the different rows without.
+    """
+    times = F.count(F.lit(1)) if each_row else F.lit(1).cast("long")
+    sets = materialize(examples.groupBy("tokens", "label").agg(times.alias("n")), "url_examples")
+    n = sets.agg(F.sum("n")).first()[0]
     if not n:
         return []
     least = max(1, math.ceil(MIN_SUPPORT * n))
-    by_label = {r["label"]: r["n"] for r in sets.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_label = {r["label"]: r["n"] for r in sets.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     # At most (tokens of a set) / MIN_SUPPORT tokens are left.
-    counted = sets.select("label", F.explode("tokens").alias("token")).groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    counted = sets.select("label", "n", F.explode("tokens").alias("token")).groupBy("token", "label").agg(F.sum("n").alias("n"))
     kept = counted.withColumn("all", F.sum("n").over(Window.partitionBy("token"))).where(F.col("all") >= least).collect()
     telling: dict[str, float] = defaultdict(float)
     for r in kept:
@@ -104,7 +108,8 @@ def mine(examples: DataFrame) -> list[tuple[tuple[str, ...], str, float, float]]
     def most_telling(tokens: pd.Series) -> pd.Series:
         return tokens.map(lambda own: sorted((t for t in own if t in telling), key=lambda t: (-telling[t], t))[:MINED_TOKENS])
 
-    items = sets.select(F.array_append(most_telling("tokens"), F.concat(F.lit(_LABEL), "label")).alias("items"))
+    rows = examples if each_row else sets
+    items = rows.select(F.array_append(most_telling("tokens"), F.concat(F.lit(_LABEL), "label")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE, numPartitions=int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))).fit(items)
     found = model.associationRules.where(F.col("consequent")[0].startswith(_LABEL) & (F.size("antecedent") <= MAX_TOKENS))
     rules = [(tuple(sorted(r["antecedent"])), r["consequent"][0].removeprefix(_LABEL), r["confidence"], r["support"]) for r in found.select("antecedent", "consequent", "confidence", "support").collect()]
@@ -146,7 +151,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> D
     parts = pages.select("page_id", host.alias("host"), path.alias("path"), url_tokens(F.col("url")).alias("tokens"))
     rule, says = explicit_rule(F.col("host"), F.col("path"), rules)
     known = parts.select("*", rule.alias("rule"), says.alias("says"))
-    index = RuleIndex(mine(known.where("rule IS NOT NULL").select("tokens", F.col("says").alias("label"))))
+    index = RuleIndex(mine(known.where("rule IS NOT NULL").select("tokens", F.col("says").alias("label")), each_row=True))
     shared = pages.sparkSession.sparkContext.broadcast(index)  # bounded: see mine
 
     @F.pandas_udf("string")
