@@ -299,3 +299,25 @@ def test_run_command(spark):
     row = scripting.run_command(entries(spark), ["sleep", "5"], timeout=0.2).first()
     assert row.exit_code == -1 and row.stderr == "timed out"
     assert scripting.run_command(entries(spark), ["/no/such/command"]).first().exit_code == -1
+
+
+def test_files_above_the_inline_limit_are_read(spark, tmp_path):
+    big = b"0123456789abcdef" * 100_000
+    (tmp_path / "disk.raw").write_bytes(big[800_000:] + big[:800_000])
+    runs = [{"addr": 800_000, "len": 800_000}, {"addr": 0, "len": 800_000}]
+    md5 = hashlib.md5(big).hexdigest()
+    rows = [
+        ("1", "/a", "big.jpg", 5, len(big), None, None, md5, runs, str(tmp_path / "disk.raw")),
+        ("2", "/a", "small.jpg", 5, 3, b"abc", None, hashlib.md5(b"abc").hexdigest(), None, None),
+        ("3", "/a", "absent.jpg", 5, 9, None, None, md5, None, None),
+        ("4", "/a", "path.jpg", 5, len(big), None, "hdfs://big", None, runs, str(tmp_path / "disk.raw")),
+    ]
+    place = "extents array<struct<addr:bigint,len:bigint>>, image_uri string"
+    e = spark.createDataFrame(rows, f"entry_id string, path string, name string, name_type bigint, size bigint, content binary, content_path string, md5 string, {place}")
+    e = e.withColumn("sha1", F.lit(None).cast("string"))
+    assert {r.entry_id: bytes(r.data) for r in inventory.export_by_ext(e, ["jpg"]).collect()} == {"1": big, "2": b"abc", "4": b""}
+    assert {r.entry_id for r in inventory.regular_files(e).collect()} == {"1", "2", "4"}
+    said = {r.entry_id: r.stdout.strip() for r in scripting.run_command(e, ["wc", "-c"]).collect()}
+    assert said == {"1": str(len(big)), "2": "3", "4": str(len(big))}
+    assert {r.full_path: r.md5 for r in content.calculated_md5s(e).collect()}["/a/big.jpg"] == md5
+    assert {r.entry_id: r.matches for r in content.verify_md5(e).collect()} == {"1": True, "2": True, "3": False, "4": False}

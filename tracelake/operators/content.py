@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import full_path
@@ -48,15 +48,18 @@ def file_hash_rows(entries: DataFrame, run_ts) -> DataFrame:
 
 
 def verify_md5(entries: DataFrame, content: str = "content") -> DataFrame:
-    """Stored against recomputed digest; ``matches`` is false also when only one of them exists."""
-    again = F.md5(content)
-    return entries.select(
-        "entry_id",
-        full_path().alias("full_path"),
-        F.col("md5").alias("stored"),
-        again.alias("computed"),
-        again.eqNullSafe(F.col("md5")).alias("matches"),
-    )
+    """Stored against recomputed digest; ``matches`` is false also when only one of them exists.
+
+    Content that is not in the row is read by its extents, in pieces.
+    """
+    away = is_away(entries, content)
+    stored = ["entry_id", full_path().alias("full_path"), F.col("md5").alias("stored")]
+    digests = entries.where(~away).select(*stored, F.md5(content).alias("computed"))
+    if len(placed(entries)) == len(PLACE):
+        columns = ["entry_id", "full_path", "stored", "computed"]
+        far = entries.select(*stored, content, *PLACE)
+        digests = digests.unionByName(map_away(far, lambda row, pieces: [*(row[c] for c in columns[:3]), _md5_of(pieces)], columns, digests.schema, content))
+    return digests.withColumn("matches", F.col("computed").eqNullSafe(F.col("stored")))
 
 
 def stored_hashes(entries: DataFrame, kind: str) -> DataFrame:
@@ -65,10 +68,14 @@ def stored_hashes(entries: DataFrame, kind: str) -> DataFrame:
 
 
 def calculated_md5s(entries: DataFrame, content: str = "content") -> DataFrame:
-    """Full path and digest computed from content, for files that are not empty."""
-    return entries.where((F.col("size") > 0) & F.col(content).isNotNull()).select(
+    """Full path and digest computed from content, in the row or in the image, for files that are not empty."""
+    digests = entries.where((F.col("size") > 0) & F.col(content).isNotNull()).select(
         full_path().alias("full_path"), F.md5(content).alias("md5")
     )
+    if len(placed(entries)) < len(PLACE):
+        return digests
+    far = entries.select(full_path().alias("full_path"), content, *PLACE)
+    return digests.unionByName(map_away(far, lambda row, pieces: [row["full_path"], _md5_of(pieces)], digests.columns, digests.schema, content))
 
 
 def extents_of(entries: DataFrame) -> DataFrame:
@@ -162,17 +169,28 @@ def extract_content(extents: DataFrame) -> DataFrame:
     return placed.mapInPandas(run, EXTRACTED)
 
 
-def load_content(entries: DataFrame, content: str = "content") -> DataFrame:
-    """``entries`` with all content in the row; its columns ``extents`` and ``image_uri`` are used up.
+PLACE = ("size", "extents", "image_uri")
+
+
+def placed(entries: DataFrame) -> list[str]:
+    """Columns of ``entries`` that say where content lies, as far as it has them."""
+    return [c for c in PLACE if c in entries.columns]
 
-    Content that ``keep_inline`` left in the image is read by its extents, in address order, by tasks of about ``TASK_BYTES``. Batches are bounded by
-    bytes, so a task holds one large file at a time. A file is one row, since a match of a pattern may lie anywhere in it. Narrow the columns before:
-    what is in the row passes through Python.
+
+def is_away(entries: DataFrame, content: str = "content") -> Column:
+    """Content that is not in the row but in the image, by its extents; false for tables without these columns."""
+    if len(placed(entries)) < len(PLACE):
+        return F.lit(False)
+    return F.coalesce(F.col(content).isNull() & (F.size("extents") > 0) & (F.col("size") > 0) & F.col("image_uri").isNotNull(), F.lit(False))
+
+
+def map_away(entries: DataFrame, make: Callable[[dict, Iterator[bytes]], list], columns: list[str], schema, content: str = "content") -> DataFrame:
+    """Rows ``make(row, pieces)`` of the entries whose content is away; ``pieces`` are its bytes in order.
+
+    Files are read in address order by tasks of about ``TASK_BYTES``, and batches are bounded by bytes, so a task holds what ``make`` keeps of one file.
+    Narrow the columns before: what is in the row passes through Python.
     """
-    kept = [c for c in entries.columns if c not in ("extents", "image_uri")]
-    schema = entries.select(*kept).schema
-    away = F.coalesce(F.col(content).isNull() & (F.size("extents") > 0) & (F.col("size") > 0) & F.col("image_uri").isNotNull(), F.lit(False))
-    far = entries.where(away).withColumn("_addr", F.get("extents", F.lit(0))["addr"])
+    far = entries.where(is_away(entries, content)).withColumn("_addr", F.get("extents", F.lit(0))["addr"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         uri, image, out, held = None, None, [], 0
@@ -183,21 +201,44 @@ def load_content(entries: DataFrame, content: str = "content") -> DataFrame:
                         if image is not None:
                             image.close()
                         uri, image = row["image_uri"], open_image(row["image_uri"])
-                    data = b"".join(_read_extents(image, row["extents"], row["size"]))
-                    out.append([data if c == content else row[c] for c in kept])
-                    held += len(data)
+                    out.append(make(row, _read_extents(image, row["extents"], row["size"])))
+                    held += sum(len(x) for x in out[-1] if isinstance(x, (bytes, str)))
                     if held > _BATCH_BYTES:
-                        yield pd.DataFrame(out, columns=kept)
+                        yield pd.DataFrame(out, columns=columns)
                         out, held = [], 0
             if out:
-                yield pd.DataFrame(out, columns=kept)
+                yield pd.DataFrame(out, columns=columns)
         finally:
             if image is not None:
                 image.close()
 
     n = tasks_for(entries.sparkSession, far.agg(F.sum("size")).first()[0])
-    read = far.repartitionByRange(n, "image_uri", "_addr").sortWithinPartitions("image_uri", "_addr").mapInPandas(run, schema)
-    return entries.where(~away).select(*kept).unionByName(read)
+    return far.repartitionByRange(n, "image_uri", "_addr").sortWithinPartitions("image_uri", "_addr").mapInPandas(run, schema)
+
+
+def load_content(entries: DataFrame, content: str = "content") -> DataFrame:
+    """``entries`` with all content in the row; its columns ``extents`` and ``image_uri`` are used up.
+
+    Content that ``keep_inline`` left in the image is read by its extents (``map_away``). A file is one row, since a match of a pattern may lie
+    anywhere in it.
+    """
+    if len(placed(entries)) < len(PLACE):
+        return entries
+    kept = [c for c in entries.columns if c not in ("extents", "image_uri")]
+
+    def whole(row: dict, pieces: Iterator[bytes]) -> list:
+        data = b"".join(pieces)
+        return [data if c == content else row[c] for c in kept]
+
+    read = map_away(entries, whole, kept, entries.select(*kept).schema, content)
+    return entries.where(~is_away(entries, content)).select(*kept).unionByName(read)
+
+
+def _md5_of(pieces: Iterator[bytes]) -> str:
+    digest = hashlib.md5()
+    for data in pieces:
+        digest.update(data)
+    return digest.hexdigest()
 
 
 def extract_stats(extracted: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import extension, full_path
+from .content import is_away, load_content, placed
 
 # Fixed value: name type of a regular file.
 REGULAR_FILE = 5
@@ -73,12 +74,13 @@ def timeline(entries: DataFrame) -> DataFrame:
     return entries.select(F.inline(events)).orderBy("epoch", "label")
 
 
-def is_regular_file() -> Column:
-    return (F.col("name_type") == REGULAR_FILE) & (F.col("size") >= 0) & F.col("content").isNotNull()
+def is_regular_file(entries: DataFrame) -> Column:
+    """Regular files with content, in the row or in the image."""
+    return (F.col("name_type") == REGULAR_FILE) & (F.col("size") >= 0) & (F.col("content").isNotNull() | is_away(entries))
 
 
 def regular_files(entries: DataFrame) -> DataFrame:
-    return entries.where(is_regular_file())
+    return entries.where(is_regular_file(entries))
 
 
 def has_extension(extensions: list[str]) -> Column:
@@ -88,8 +90,8 @@ def has_extension(extensions: list[str]) -> Column:
 def export_by_ext(entries: DataFrame, extensions: list[str] | DataFrame) -> DataFrame:
     """Files with one of the extensions, with digests and content.
 
-    Content that is stored by path is not copied: ``data`` is empty and ``hdfs_path`` is set. Files
-    with neither are left out. ``extensions`` may be a one-column DataFrame when the list is long.
+    Content that is stored by path is not copied: ``data`` is empty and ``hdfs_path`` is set. Content that lies
+    in the image is read by its extents. Files with none of these are left out. ``extensions`` may be a one-column DataFrame when the list is long.
     """
     if isinstance(extensions, DataFrame):
         wanted = extensions.select(F.lower(F.col(extensions.columns[0])).alias("_ext")).distinct()
@@ -97,12 +99,22 @@ def export_by_ext(entries: DataFrame, extensions: list[str] | DataFrame) -> Data
     else:
         kept = entries.where(has_extension(extensions))
     by_path = F.col("content_path").isNotNull()
-    return kept.where(by_path | F.col("content").isNotNull()).select(
+    found = kept.where(by_path | F.col("content").isNotNull() | is_away(kept)).select(
         "entry_id",
         full_path().alias("full_path"),
         extension().alias("extension"),
         F.coalesce("sha1", F.lit("")).alias("sha1"),
         F.coalesce("md5", F.lit("")).alias("md5"),
+        "content",
+        "content_path",
+        *[F.when(~by_path, F.col(c)).alias(c) for c in placed(kept)],
+    )
+    return load_content(found).select(
+        "entry_id",
+        "full_path",
+        "extension",
+        "sha1",
+        "md5",
         F.when(by_path, F.lit("").cast("binary")).otherwise(F.col("content")).alias("data"),
         F.coalesce("content_path", F.lit("")).alias("hdfs_path"),
     )

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .content import PLACE, is_away, map_away, placed
 from .inventory import is_regular_file
 
 # Type names a script may declare.
@@ -217,7 +218,7 @@ def run_reducer(
 def run_command(
     entries: DataFrame, command: list[str], timeout: float | None = None, content: str = "content"
 ) -> DataFrame:
-    """Run an external command per regular file with the content on stdin.
+    """Run an external command per regular file with the content on stdin; content in the image is read by its extents.
 
     Output: ``entry_id, stdout, stderr, exit_code``. A command that cannot be started or runs out of a given
     ``timeout`` (seconds) gives exit code -1 and the reason in ``stderr``; what it had written by then is kept.
@@ -237,5 +238,9 @@ def run_command(
             rows = [(i, *one(bytes(c))) for i, c in zip(frame["entry_id"], frame["content"])]
             yield pd.DataFrame(rows, columns=["entry_id", "stdout", "stderr", "exit_code"])
 
-    files = entries.where(is_regular_file()).select("entry_id", F.col(content).cast("binary").alias("content"))
-    return files.mapInPandas(run, "entry_id string, stdout string, stderr string, exit_code int")
+    schema = "entry_id string, stdout string, stderr string, exit_code int"
+    files = entries.where(is_regular_file(entries)).select("entry_id", F.col(content).cast("binary").alias("content"), *placed(entries))
+    ran = files.where(~is_away(files)).select("entry_id", "content").mapInPandas(run, schema)
+    if len(placed(files)) < len(PLACE):
+        return ran
+    return ran.unionByName(map_away(files, lambda row, pieces: [row["entry_id"], *one(b"".join(pieces))], ran.columns, schema))
