@@ -50,7 +50,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL has neither the classifier nor the tokenizer; tests/llm compares with brute force.
+#: SQL has neither the classifier nor the tokenizer; tests/llm compares each stage with its operator only, packing by its number of rows.
 ORACLE_SQL = None
 
 
