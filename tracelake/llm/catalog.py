@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import byte_bpe
 from .common import table
 from .decontaminate import contamination
+from .importance import BUCKETS, MIN_WORDS, PERCENT, SEED, importance
 from .language_id import language_id
 from .licenses import MIN_DICE, TEMPLATES, scan, size_bounds, template_bigrams
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .suffix_dedup import without_repeats
+from .token_alignment import token_alignment
 from .token_count import token_counts
 from .top_k import top_k
 from .toxicity import toxicity
@@ -61,6 +64,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
@@ -72,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_count": op9_token_count,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 TOP_K_SQL = """
@@ -86,6 +104,47 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
+def _importance_sql() -> str:
+    entries = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        entries.append(value)
+    table = ", ".join(map(str, entries))
+
+    def features(name: str) -> str:
+        return f"""
+  SELECT k, unnest([w, w || ' ' || w2, w || ' ' || w2 || ' ' || w3]) AS f
+  FROM (SELECT k, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3
+        FROM (SELECT k, unnest(w) AS w, unnest(range(len(w))) AS i FROM {name}) WINDOW o AS (PARTITION BY k ORDER BY i))"""
+
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {words} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS k, {words} AS w FROM benchmark),
+df AS (SELECT * FROM ({features("d")}) WHERE f IS NOT NULL),
+bf AS (SELECT * FROM ({features("b")}) WHERE f IS NOT NULL),
+x AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+u AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, y: xor(c >> 8, ([{table}]::BIGINT[])[xor(c & 255, y) + 1])), 4294967295) % {BUCKETS} AS bucket
+  FROM x),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN u USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN u USING (f) GROUP BY bucket),
+g AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT count(*) FROM df) + {BUCKETS})::DOUBLE
+    / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM bf) + {BUCKETS})::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range({BUCKETS})) AS bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+w AS (SELECT k, count(*) AS n, sum(gain) AS weight FROM df JOIN u USING (f) JOIN g USING (bucket) GROUP BY k),
+r AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (k)),
+o AS (SELECT *, n_words >= {MIN_WORDS} AS enough, row_number() OVER (PARTITION BY n_words >= {MIN_WORDS} ORDER BY score DESC, doc_id) AS place FROM r)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN enough AND place <= {PERCENT} * (SELECT count(*) FROM r WHERE n_words >= {MIN_WORDS}) // 100 THEN place END AS rank, n_words
+FROM o"""
+
 
 def _license_sql() -> str:
     rows = []
@@ -120,4 +179,4 @@ SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units, coalesce(license
 FROM documents LEFT JOIN g USING (doc_id)""".replace("\\\\", "\\")
 
 
-ORACLES: dict[str, str] = {"op6_license_scan": _license_sql(), "op7_top_k": TOP_K_SQL}
+ORACLES: dict[str, str] = {"op6_license_scan": _license_sql(), "op7_top_k": TOP_K_SQL, "op11_importance_resampling": _importance_sql()}
