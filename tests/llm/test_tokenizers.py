@@ -90,6 +90,17 @@ def test_byte_bpe_rows(docs, corpus, nothing, library):
     assert sorted(map(str, back.collect())) == sorted(map(str, docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()))
 
 
+def test_encoding_by_rank_is_the_librarys(hard):
+    a, _ = token_alignment.tokenizers(*token_alignment._paths(None, None))
+    assert a.by_rank
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(8)
+    tokens = [t for t in a.bytes if t]
+    texts = ["".join(f"a{chr(c)}1{chr(c)} .{chr(c)}" for c in codes[at : at + 200]) for at in range(0, len(codes), 200)]
+    texts += [b"".join(rng.choices(tokens, k=4)).decode("utf-8", "ignore") for _ in range(20_000)] + [t for t in hard if t] + [" " * 2_000_000, "\n " * 100_000]
+    assert a.encode(texts) == [x.ids for x in a.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def plain_alignment(text, a, b):
     """``(A ids, B ids, groups)`` by the definition, or None where there are no tokens."""
     if not text:

@@ -19,6 +19,7 @@ empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .byte_bpe import word_pattern
 from .token_count import byte_characters
 from .words import tokenizer, vocabulary_path
 
@@ -44,6 +46,7 @@ WINDOW_CHARS = 1 << 20
 #: Links of a group that are listed one by one; those of a larger one are counted by id first.
 LISTED_LINKS = 256
 
+_LONG_SPACE = re.compile(r"\s{5000}")
 _BREAK = re.compile(r"(?<=[^\s]) ")
 
 
@@ -55,10 +58,36 @@ class ByteTokens:
         self.library.encode_special_tokens = True
         byte_of = {c: b for b, c in enumerate(byte_characters())}
         self.bytes = [b""] * self.library.get_vocab_size()
-        for token, i in self.library.get_vocab().items():
-            self.bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else b""
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = bytes(byte_of[c] for c in token)
+        self.sizes = np.array([len(x) for x in self.bytes], dtype=np.int64)
+        self.by_rank = self._by_rank(path)
+
+    def _by_rank(self, path: str):
+        """An encoder that joins any two tokens whose bytes make a token, lowest id first, where that is sure to be the same; else None.
+
+        If ids follow the order of the merges and each token's own characters are merged to that token, it is: as long as the two ways have
+        not differed and no token reaches over the ends of a stretch, its merges are those of the stretch alone. So where the bytes of a token stand as two tokens at the turn of its id, they are
+        the two of its merge.
+        """
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model, split = spec["model"], spec["pre_tokenizer"] or {}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+        alone = all(len(self.library.model.tokenize(token)) == 1 for token in model["vocab"])
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not spec["normalizer"]
+        singles = sorted(i for token, i in model["vocab"].items() if len(token) == 1)
+        if not usual or not alone or singles + made != list(range(len(model["vocab"]))):
+            return None
+        import tiktoken
+
+        ranks = {token: i for i, token in enumerate(self.bytes) if token}
+        return tiktoken.Encoding("by rank", pat_str=word_pattern(), mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.by_rank:  # its pattern engine gives up at very long white space
+            return [self.by_rank.encode_ordinary(t) if not _LONG_SPACE.search(t) else self.library.encode(t, add_special_tokens=False).ids for t in texts]
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
@@ -74,6 +103,7 @@ class PieceTokens:
             bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else b"" if self.library.is_control(i) or self.library.is_unknown(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.sizes = np.array([len(x) for x in self.bytes], dtype=np.int64)
         #: No piece holds a blank after something else, so none spans a cut before a single blank.
         self.can_be_cut = not any(re.search("[^▁]▁", p) for p in pieces)
 
@@ -172,6 +202,18 @@ def linked_ids(groups: np.ndarray, of: np.ndarray, ids_a: np.ndarray, ids_b: np.
     return docs[new], keys[new], np.add.reduceat(times, new) if len(new) else times
 
 
+@functools.lru_cache(maxsize=4)
+def _decimals(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of all numbers of so many bits, with a column for a mark, and which of these count."""
+    numbers, columns = np.arange(1 << bits), len(str((1 << bits) - 1))
+    powers = 10 ** np.arange(columns - 1, -1, -1)
+    digits = np.zeros((len(numbers), columns + 1), dtype=np.uint8)
+    digits[:, :columns] = numbers[:, None] // powers % 10 + ord("0")
+    shown = np.ones(digits.shape, dtype=bool)
+    shown[:, : columns - 1] = numbers[:, None] >= powers[:-1]
+    return digits, shown
+
+
 def group_texts(groups: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[str]:
     """Each document's groups as ``a1,a2|b1;a3|b2,b3``."""
     first_a, end_a, first_b, end_b = groups
@@ -181,13 +223,9 @@ def group_texts(groups: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a
     ids[np.arange(len(ids_b)) + np.repeat(end_a, end_b - first_b)] = ids_b
     mark[end_a + first_b - 1] = ord("|")
     mark[end_a + end_b - 1] = ord(";")
-    columns = len(str(int(ids.max(initial=0))))
-    powers = 10 ** np.arange(columns - 1, -1, -1)
-    digits = np.empty((len(ids), columns + 1), dtype=np.uint8)
-    digits[:, :columns] = ids[:, None] // powers % 10 + ord("0")
-    digits[:, columns] = mark
-    shown = np.ones(digits.shape, dtype=bool)
-    shown[:, : columns - 1] = ids[:, None] >= powers[:-1]
+    table, visible = _decimals(int(ids.max(initial=0)).bit_length())
+    digits, shown = table[ids], visible[ids]
+    digits[:, -1] = mark
     text = digits[shown].tobytes().decode("ascii")
     ends = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(shown.sum(axis=1))))[cuts_a + cuts_b].tolist()
     return [text[s : max(s, e - 1)] for s, e in zip(ends[:-1], ends[1:], strict=True)]
@@ -213,8 +251,7 @@ def align(texts: list[str | None], a: ByteTokens, b: PieceTokens) -> Aligned:
     n_a, n_b = (np.array([len(x[k]) for x in found], dtype=np.int64) for k in (0, 1))
     ids_a, ids_b = (np.concatenate([x[k] for x in found] + [np.zeros(0, dtype=np.int32)]) for k in (0, 1))
     cuts_a, cuts_b = (np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(n))) for n in (n_a, n_b))
-    sizes_a, sizes_b = (np.array([len(x) for x in v.bytes], dtype=np.int64) for v in (a, b))
-    ends_a, ends_b = np.cumsum(sizes_a[ids_a]), np.cumsum(sizes_b[ids_b])
+    ends_a, ends_b = np.cumsum(a.sizes[ids_a]), np.cumsum(b.sizes[ids_b])
     full = np.flatnonzero(n_a)
     bytes_at = np.concatenate((np.zeros(1, dtype=np.int64), ends_a))
     groups = lockstep(ends_a, ends_b, bytes_at[cuts_a[full]], bytes_at[cuts_a[full + 1]])
