@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 
 import numpy as np
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import cluster, content, inventory, known, merge, scripting, search, similarity, text
 from tracelake.session import lookup_join, materialize
-from tracelake.sources import image_files, image_ranges, make_patterns
+from tracelake.sources import image_files, image_ranges, load_patterns, make_patterns, pattern_rows, read_pattern_rows
+from tracelake.sources.patterns import required_literals
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -43,6 +45,62 @@ def test_counts_agree(spark):
     assert [r.a for r in direct] == [0, 3]
 
 
+LINES = ["the", r"\bthe\b", "an(d|y)", "(t)(h)\\2?e?", "licen[sc]e", "(", "zzz", "qu+e|the|and", "(?i)THE", "x*", "ab?the", "the{0}n", r"[.]\s", "(?<=t)hen", "(?:the|and) ", r"\\Qthe\\E", "thé", "the"]
+
+
+def test_patterns_as_rows_find_what_patterns_in_the_plan_find(spark):
+    docs = materialize(
+        spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").where("n_chars < 2000").limit(40)
+        .union(spark.createDataFrame([(-2, "thethethe" * 20), (-3, ""), (-4, "th"), (-5, "\n\nthe\n"), (-6, None), (-7, "😀" * 30 + "the" + "😀" * 30), (0, "the same id")], "doc_id bigint, text string"))
+    )
+    rows = pattern_rows(spark.createDataFrame(list(enumerate(LINES)), "a long, kw string"))
+    listed = make_patterns(spark, LINES)
+    assert [(r.a, r.kw, r.valid) for r in rows.orderBy("a").collect()] == [tuple(p) for p in listed]
+    hits = search.grep_hits(docs, listed).select("doc_id", F.inline("hits"))
+    want = collections.Counter((r.doc_id, r.a, r.p) for r in hits.collect())
+    got = search.match_rows(docs, rows, "doc_id", contexts=True)
+    assert collections.Counter((r.doc_id, r.a, p) for r in got.collect() for p in r.hits) == want
+    shuffled = search.match_rows(docs, rows, "doc_id", max_broadcast_bytes=0)
+    assert sum((collections.Counter({(r.doc_id, r.a): r.n}) for r in shuffled.collect()), collections.Counter()) == collections.Counter(x[:2] for x in want.elements())
+    counts = {(r.a, r.n, r.kw) for r in search.grep_counts(docs, listed).collect()}
+    assert {tuple(r) for r in search.match_counts(docs, rows, "doc_id").collect()} == counts
+    assert search.match_counts(docs.limit(0), rows, "doc_id").count() == 0 == search.match_counts(docs, rows.limit(0), "doc_id").count()
+
+
+def test_the_plan_of_a_search_does_not_grow_with_patterns_as_rows(spark):
+    docs = spark.createDataFrame([(1, "some word17 here")], "id long, text string")
+
+    def plan(n):
+        rows = pattern_rows(spark.range(n).select(F.col("id").alias("a"), F.concat(F.lit("word"), "id").alias("kw")))
+        found = search.match_rows(docs, rows, "id")
+        assert {r.kw for r in found.collect()} == {k for k in ("word1", "word17") if int(k[4:]) < n}
+        return len(re.sub(r"-?\d+L?", "", found._jdf.queryExecution().optimizedPlan().toString()))
+
+    assert plan(2000) == plan(20)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_match_holds_a_required_literal(seed):
+    rng = random.Random(seed)
+    parts = ["abc", "abcd", "b", "ca", "[ab]", "(ab|ca)", "b*", "c?", "a+", "b{1,2}", "(?:abc)?", ".", r"\.", r"\w", "|", "(a[)]b)*"]
+    texts = ["".join(rng.choice("abcd.") for _ in range(rng.randrange(3, 40))) for _ in range(60)]
+    known = 0
+    for _ in range(1500):
+        kw = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+        literals = required_literals(kw)
+        known += literals is not None
+        for t in texts if literals else []:
+            assert all(any(x in m.group() for x in literals) for m in re.finditer(kw, t)), (kw, t)
+    assert known > 200
+
+
+def test_lines_of_pattern_files_are_numbered_file_by_file(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\n\ntwo\r\n")
+    (tmp_path / "b.txt").write_text("three\n(\n")
+    rows = [(r.a, r.kw, r.valid) for r in read_pattern_rows(spark, str(tmp_path)).orderBy("a").collect()]
+    assert rows == [tuple(p) for p in load_patterns(spark, str(tmp_path))] == [(0, "one", True), (1, "two", True), (2, "three", True), (3, "(", False)]
+
+
 def test_has_hit_is_the_same_as_having_hits(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     patterns = make_patterns(spark, ["licen[sc]e", "(", "que"])

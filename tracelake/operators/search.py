@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import full_path, once
-from ..sources.patterns import Pattern, pattern_frame
+from ..session import BROADCAST_BYTES, materialize, stored_bytes
+from ..sources.patterns import GRAM, Pattern, pattern_frame
 
 # Fixed value: characters of context on each side of a hit.
 CONTEXT = 20
@@ -24,8 +25,8 @@ _REACH = 2 * CONTEXT + 2
 HIT = "struct<a:int,p:string>"
 
 
-def _hits_of(pattern: Pattern, matches: Column, parts: Column) -> Column:
-    """Hits of one pattern from its matches and the text between them.
+def _contexts(matches: Column, parts: Column) -> Column:
+    """Each match with its surroundings, from the matches of a pattern and the text between them.
 
     ``parts`` has one element more than ``matches``: the text is part, match, part, ..., part.
     """
@@ -57,12 +58,12 @@ def _hits_of(pattern: Pattern, matches: Column, parts: Column) -> Column:
             F.left(F.array_join(near, ""), F.lit(CONTEXT))
         )
 
-    return F.transform(
-        around,
-        lambda x, i: F.struct(
-            F.lit(pattern.a).alias("a"), F.concat(left(x, i), x["m"], right(x, i)).alias("p")
-        ),
-    )
+    return F.transform(around, lambda x, i: F.concat(left(x, i), x["m"], right(x, i)))
+
+
+def _hits_of(pattern: Pattern, matches: Column, parts: Column) -> Column:
+    """Hits of one pattern from its matches and the text between them."""
+    return F.transform(_contexts(matches, parts), lambda p: F.struct(F.lit(pattern.a).alias("a"), p.alias("p")))
 
 
 # Patterns that one combined pattern stands for in the test whether a text can have a hit at all.
@@ -177,6 +178,102 @@ def has_hit(patterns: list[Pattern], text: str = "text") -> Column:
     return (F.length(text) > 0) & found
 
 
+# Bits of the filter that keeps a text's grams from the join if no pattern asks for them.
+_FILTER_BITS = 1 << 16
+
+
+def _gram_filter(index: DataFrame) -> Column:
+    """A test of a gram's hash ``g`` that all grams of the index pass; as large whatever the number of patterns."""
+    words = [0] * (_FILTER_BITS // 64)
+    for r in index.select(F.pmod("gram", F.lit(_FILTER_BITS)).alias("bit")).distinct().collect():  # _FILTER_BITS rows at most
+        words[r.bit // 64] |= 1 << r.bit % 64
+    table = F.array(*[F.lit(w - (1 << 64) if w >> 63 else w) for w in words])
+
+    def test(g: Column) -> Column:
+        bit = F.pmod(g, F.lit(_FILTER_BITS))
+        return F.getbit(F.get(table, F.floor(bit / 64).cast("int")), F.pmod(bit, F.lit(64))) == 1
+
+    return test
+
+
+def gram_index(patterns: DataFrame) -> DataFrame:
+    """Stored rows ``gram, literal, earlier, a, kw`` of patterns with required literals: one gram of each literal, that which fewest literals have.
+
+    ``earlier`` holds the pattern's literals before this one.
+    """
+    numbered = patterns.where("valid AND literals IS NOT NULL").withColumn("_all", F.array_distinct("literals"))
+    literals = numbered.select("a", "kw", "_all", F.posexplode("_all").alias("_i", "literal"))
+    literals = literals.select("a", "kw", "literal", F.slice("_all", F.lit(1), F.col("_i")).alias("earlier"))
+    grams = F.array_distinct(F.when(F.length("literal") >= LONG_GRAM, _grams("literal", LONG_GRAM)).otherwise(_grams("literal", GRAM)))
+    listed = literals.select("*", F.explode(grams).alias("_gram"))
+    common = listed.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = listed.join(common, "_gram").groupBy("a", "kw", "literal", "earlier").agg(F.min(F.struct("_n", "_gram")).alias("_g"))
+    return materialize(rarest.select(F.xxhash64("_g._gram").alias("gram"), "literal", "earlier", "a", "kw"), "gram-index")
+
+
+# Literals of so many characters are looked up by grams of this size, which fewer texts hold.
+LONG_GRAM = 5
+
+
+def _grams(text: str, size: int) -> Column:
+    """Every ``size`` characters that stand together."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+
+def candidates(texts: DataFrame, patterns: DataFrame, key: str, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows ``key, _text, a, kw`` from ``(key, _text)``: each text with each pattern of which it holds a required literal.
+
+    A text's different grams pass a filter of fixed size and are joined with the index. A small index is broadcast, and each text is
+    compared with the literals found where it lies. Beyond that grams and index are shuffled, and what is found is joined with the texts by ``key``.
+    """
+    index = gram_index(patterns)
+    asked_for = _gram_filter(index)
+    hashes = [F.array_distinct(F.filter(F.transform(_grams("_text", n), lambda g: F.xxhash64(g)), asked_for)) for n in (GRAM, LONG_GRAM)]
+    grams = once(texts.where(F.length("_text") >= GRAM), "_grams", F.concat(*hashes))
+    if stored_bytes(index) <= max_broadcast_bytes:
+        found = grams.select(key, "_text", F.explode("_grams").alias("gram")).join(F.broadcast(index), "gram")
+    else:
+        listed = grams.select(key, F.explode("_grams").alias("gram")).join(index, "gram").drop("gram").distinct()
+        found = texts.join(listed, key)
+    first = F.contains("_text", "literal") & ~F.exists("earlier", lambda x: F.contains("_text", x))
+    return found.where(first).select(key, "_text", "a", "kw")
+
+
+def match_rows(texts: DataFrame, patterns: DataFrame, key: str, text: str = "text", contexts: bool = False, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows ``key, a, kw, n`` and, if asked for, ``hits``: each pattern of ``patterns`` (rows of ``sources.pattern_rows``) with each document that it matches.
+
+    Only candidates are tried: those found over the grams of a literal that the pattern requires, and all documents for a pattern without one. The size of the plan
+    follows the number of the latter only. ``hits`` holds every match with its context, as ``grep_hits`` gives it. ``key`` names a document; rows that share it
+    are searched each.
+    """
+    if key in ("a", "kw", "n", "hits", "literal", "earlier", "gram"):
+        raise ValueError(f"rename the key {key!r}")
+    rows = texts.where(F.length(text) > 0).select(key, F.col(text).alias("_text"))
+    found = candidates(rows, patterns, key, max_broadcast_bytes)
+    for p in _without_literals(patterns):
+        found = found.unionByName(rows.where(F.col("_text").rlike(p.kw)).select(key, "_text", F.lit(p.a).cast("long").alias("a"), F.lit(p.kw).alias("kw")))
+    if not contexts:
+        return once(found, "n", F.regexp_count("_text", "kw").cast("long")).where("n > 0").select(key, "a", "kw", "n")
+    found = once(found, "_m", F.regexp_extract_all("_text", "kw", F.lit(0))).where(F.size("_m") > 0)
+    found = once(found, "_cut", F.split("_text", F.col("kw"), -1))
+    parts = F.when(F.size("_cut") == F.size("_m"), F.concat(F.array(F.lit("")), "_cut")).otherwise(F.col("_cut"))
+    found = once(found, "_parts", parts)
+    return once(found, "hits", _contexts(F.col("_m"), F.col("_parts"))).select(key, "a", "kw", F.size("_m").cast("long").alias("n"), "hits")
+
+
+def _without_literals(patterns: DataFrame) -> list[Pattern]:
+    """The patterns that every text must be tried with; they are part of the plan."""
+    return [Pattern(r.a, r.kw, True) for r in patterns.where("valid AND literals IS NULL").select("a", "kw").collect()]
+
+
+def match_counts(texts: DataFrame, patterns: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Rows ``a, n, kw``: hits of each pattern that has any, for patterns given as rows."""
+    listed = match_rows(texts, patterns.where("literals IS NOT NULL"), key, text).groupBy("a", "kw").agg(F.sum("n").alias("n"))
+    tried = _without_literals(patterns)
+    counts = listed.select("a", "n", "kw")
+    return counts.unionByName(grep_counts(texts, tried, text).withColumn("a", F.col("a").cast("long"))) if tried else counts
+
+
 def hit_corpus(with_hits: DataFrame, text: str = "text") -> DataFrame:
     """Documents that have at least one hit."""
     return with_hits.where(F.col(text).isNotNull() & (F.size("hits") > 0)).select(

@@ -2,7 +2,7 @@
 
 from .entries import ParsedEntries, parse_entry_lines, read_entries, scan_entries
 from .images import image_files, image_ranges
-from .patterns import Pattern, load_patterns, make_patterns
+from .patterns import Pattern, load_patterns, make_patterns, pattern_rows, read_pattern_rows
 from .refset import (
     parse_mfg,
     parse_os,
@@ -26,9 +26,11 @@ __all__ = [
     "parse_os",
     "parse_products",
     "parse_ref_files",
+    "pattern_rows",
     "read_entries",
     "read_mfg",
     "read_os",
+    "read_pattern_rows",
     "read_products",
     "read_ref_files",
     "scan_entries",
