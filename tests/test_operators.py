@@ -146,6 +146,28 @@ def test_mark_known_by_either_hash(spark):
     assert got == {"1": (True, False), "2": (True, False), "3": (False, True), "4": (True, False)}
 
 
+def test_mark_known_beyond_a_broadcast(spark):
+    files = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("md5"), F.sha1(F.col("id").cast("string")).alias("sha1")).withColumn("nsrl", F.lit("old"))
+    files = files.unionByName(spark.createDataFrame([(-1, None, None, "old"), (-2, None, "x", "old")], "id long, md5 string, sha1 string, nsrl string")).repartition(5)
+    members = spark.range(0, 20_000, 40).select(F.lit("md5").alias("hash_type"), F.md5(F.col("id").cast("string")).alias("hash"))
+    nsrl = members.union(spark.createDataFrame([("sha1", "x"), ("md5", None)], "hash_type string, hash string")).union(members)
+    bad = spark.range(7, 20_000, 90).select(F.lit("sha1").alias("hash_type"), F.sha1(F.col("id").cast("string")).alias("hash"))
+    plain = sorted(map(str, known.mark_known(files, nsrl, bad).collect()))
+    filtered = known.mark_known(files, nsrl, bad, max_broadcast_bytes=0)
+    assert sorted(map(str, filtered.collect())) == plain and filtered.columns == ["id", "md5", "sha1", "nsrl", "bad"]
+    flags = materialize(nsrl.union(bad).distinct())
+    test = known.possible_members(flags)
+    passed = {r.id for r in files.where(test).collect()}
+    wanted = {*range(0, 20_000, 40), *range(7, 20_000, 90), -2}
+    assert wanted <= passed and len(passed) < len(wanted) + 400
+    # What is shuffled comes from behind the filter.
+    plan = filtered._jdf.queryExecution().optimizedPlan().toString()
+    assert "getbit" in plan.lower() and len(plan) < 40_000
+    assert known.possible_members(flags, max_bits=1024) is None
+    none = spark.createDataFrame([], "hash_type string, hash string")
+    assert known.mark_known(files, none, none, max_broadcast_bytes=-1).where("nsrl OR bad").isEmpty()
+
+
 def test_merge(spark):
     base = spark.createDataFrame([("1", "x", 1), ("2", "y", 2)], "entry_id string, s string, n int")
     log = spark.createDataFrame([("1", 1, "p", None), ("1", 2, None, 9), ("3", 1, "q", None), ("2", 1, None, None)], "entry_id string, t int, s string, m int")

@@ -5,6 +5,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tracelake import sinks
 from tracelake.operators import known, scripting
@@ -12,6 +13,7 @@ from tracelake.operators.content import load_content
 from tracelake.operators.search import grep_counts
 from tracelake.operators.text import extract_text
 from tracelake.plans.analysis import analyse
+from tracelake.plans import ingest as ingest_plan
 from tracelake.plans.ingest import AlreadyRegistered, ingest
 from tracelake.plans.reports import column_max, csv_lines
 from tracelake.sources import make_patterns, scan_entries
@@ -164,6 +166,34 @@ def test_large_files_are_searched_and_repeats_count_once(spark, tmp_path):
         ingest(*args)
 
 
+def test_a_failed_ingest_can_be_run_again(spark, tmp_path, monkeypatch):
+    dump(tmp_path)
+    nothing = spark.createDataFrame([], "hash_type string, hash string")
+    out = str(tmp_path / "out")
+    args = (spark, str(tmp_path / "entries.json"), IMAGE_ID, str(tmp_path / "disk.raw"), nothing, nothing, "2024-01-01 00:00:00", out, "disk")
+
+    def fail(*_, **__):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(ingest_plan, "write_sorted_hashes", fail)
+        ingest(*args)
+    assert not ingest_plan.is_registered(spark, out, IMAGE_ID)
+    with ingest_plan.claimed(spark, out, IMAGE_ID), pytest.raises(ingest_plan.BeingIngested):
+        ingest(*args)
+    done = ingest(*args)
+    assert [(r.image_id, r.friendly_name) for r in spark.read.parquet(f"{out}/images").collect()] == [(IMAGE_ID, "disk")]
+    for name, want in (("entries", done.entries), ("extents", done.extents), ("file_hashes", done.file_hashes)):
+        stored = spark.read.parquet(f"{out}/{name}")
+        assert stored.where(F.col("image_id") == IMAGE_ID).count() == stored.count() == want.count() > 0
+    hashes = spark.read.parquet(f"{out}/file_hashes").select(done.file_hashes.columns)
+    assert hashes.exceptAll(done.file_hashes).isEmpty()
+    assert spark.read.json(f"{out}/rejects").count() == done.rejects.count() > 0
+    with pytest.raises(AlreadyRegistered):
+        ingest(*args)
+    assert not ingest_plan.is_registered(spark, out, "another")
+
+
 @pytest.mark.parametrize("top, limit", [(0, 100), (40, 100), (100, 200), (101, 202)])
 def test_axis_limit(spark, top, limit):
     assert column_max(spark.createDataFrame([(top,)], "n bigint")).first()["limit"] == limit

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def write_entries(entries: DataFrame, path: str, mode: str = "append") -> None:
-    """Entries as Parquet under one folder per image, so that a scan of one image reads only its files."""
-    entries.write.mode(mode).partitionBy("image_id").parquet(path)
+    """Entries as Parquet under one folder per image, so that a scan of one image reads only its files; without the column, ``path`` is one image's folder."""
+    writer = entries.write.mode(mode)
+    (writer.partitionBy("image_id") if "image_id" in entries.columns else writer).parquet(path)
 
 
 def write_sorted_hashes(rows: DataFrame, path: str, partitions: int | None = None, mode: str = "append") -> None:
