@@ -115,6 +115,11 @@ def test_cut_texts_and_empty_table(docs, nothing):
     assert cut.columns == docs.columns and cut.count() == docs.count()
     assert all(r.n_chars == len(r.text) for r in cut.where("text IS NOT NULL").collect())
     assert without_repeats(nothing).count() == cut_repeats(nothing).count() == 0
+    clashing = docs.selectExpr("*", "1 AS _marks", "2 AS _mark_texts", "3 AS id", "4 AS found", "6 AS `row`", "7 AS `a.b`")
+    again = cut_repeats(clashing)
+    assert again.columns == clashing.columns
+    assert sorted(map(str, again.select(*docs.columns).collect())) == sorted(map(str, cut.collect()))
+    assert again.where("_marks = 1 AND _mark_texts = 2 AND id = 3 AND found = 4 AND `row` = 6 AND `a.b` = 7").count() == docs.count()
 
 
 def test_suffix_ranks_sort_as_the_bytes_do():

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm import catalog, licenses, url_filter
 from tracelake.llm.decontaminate import TestItems, contamination, without_test_items
-from tracelake.llm.language_id import ByteNetwork, Predictor, language_id
+from tracelake.llm.language_id import _LETTER, ByteNetwork, Predictor, language_id
 from tracelake.llm.top_k import top_k
 from tracelake.llm.toxicity import BlockMaxIndex, _model, isotonic, toxicity, without_toxic
 
@@ -105,6 +105,7 @@ def test_language_of_odd_rows(spark, docs, nothing):
     assert all((lang == "und") == (not any(c.isalpha() for c in by_text[i] or "")) for i, lang in rows if i not in (None, 4))
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id(unlabelled).collect()} == {"und"}
+    assert [bool(_LETTER.search(t)) for t in ("²", "½ Ⅷ", "①_1", "é", "x²", "日")] == [False, False, False, True, True, True]
     assert language_id(nothing).count() == 0
 
 

@@ -14,12 +14,12 @@ equal scores the first by name is taken; rows without id or label teach nothing;
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ EPOCHS = 6
 BATCH = 128
 RATE = 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PAD = max(WIDTHS) - 1
 _SLICE = 512  # windows at once
 

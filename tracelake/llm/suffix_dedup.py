@@ -447,9 +447,11 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
         rows = zip(text_id, text, found, texts, strict=True)
         return pd.Series([t if m is None or not isinstance(t, str) else _kept(_bytes(t), i, m, own)[0].decode("utf-8", "ignore") for i, t, m, own in rows], dtype="object")
 
-    columns = docs.columns
-    joined = docs.join(marks(docs).toDF("doc_id", "_marks", "_mark_texts"), "doc_id", "left")
-    cut = joined.withColumn("text", kept_text(F.xxhash64("text"), "text", "_marks", "_mark_texts"))
-    if "n_chars" in columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*columns)
+    # The row is one struct on the way, so no column of it meets another of its name.
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row").getField("text")
+    joined = rows.join(marks(docs).toDF("id", "found", "texts"), "id", "left").withColumn("kept", kept_text(F.xxhash64(text), text, "found", "texts"))
+    new = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
