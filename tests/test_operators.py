@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracelake.operators import cluster, content, inventory, known, merge, scripting, search, similarity, text
+from tracelake.operators import charset, cluster, content, inventory, known, merge, scripting, search, similarity, text
 from tracelake.session import lookup_join, materialize
 from tracelake.sources import image_files, image_ranges, load_patterns, make_patterns, pattern_rows, read_pattern_rows
 from tracelake.sources.patterns import required_literals
@@ -245,6 +245,35 @@ def test_ranges_cover_the_image(spark, image):
 # ---- text and clusters ----
 
 
+@pytest.mark.parametrize(
+    ("words", "charsets"),
+    [
+        ("Привет, мир! Это обычный русский текст, в котором есть и Москва, и Пушкин. Съешь ещё булок.", ["windows-1251", "KOI8-R", "IBM866", "UTF-16LE", "UTF-16BE"]),
+        ("これは日本語のテキストです。東京は日本の首都であり、とても大きな都市です。", ["Shift_JIS", "EUC-JP"]),
+        ("Größe und Übermut: Straße, Käse, für öde Äpfel – „so“ war’s.", ["windows-1252", "UTF-16LE"]),
+        ("Été à Noël, ça va où", ["windows-1252", "IBM850", "macintosh"]),
+        ("Zażółć gęślą jaźń, Łódź i Kraków są w Polsce; dziękuję.", ["windows-1250"]),
+        ("Αυτό είναι ένα ελληνικό κείμενο, η Αθήνα είναι η πρωτεύουσα.", ["windows-1253"]),
+        ("这是一个中文文本，北京是中国的首都，人口很多。", ["GB18030"]),
+        ("이것은 한국어 텍스트입니다. 서울은 대한민국의 수도이다.", ["EUC-KR"]),
+    ],
+)
+def test_charsets(words, charsets):
+    for name in charsets:
+        assert charset.detect(words.encode(name)) == (name, words)
+    for mark, name in charset.MARKS:
+        assert charset.detect(mark + words.encode(name)) == (name, words)
+
+
+def test_binary_content_is_no_text(spark):
+    rng = np.random.default_rng(4)
+    binary = [rng.bytes(500), b"\xff\xd8\xff\xe0\x00\x10JFIF\x00" + rng.bytes(300), b"PK\x03\x04\x14\x00" + rng.bytes(99), bytes(100), b"\x7fELF\x02\x01\x01" + bytes(9) + rng.bytes(60)]
+    assert {charset.detect(b) for b in binary} == {(None, None)}
+    rows = [(1, binary[0]), (2, None), (3, b""), (4, "é".encode("utf-16")), (5, b"\xef\xbb\xbfx"), (6, "<html><body>\u00e9t\u00e9 \u00e0 No\u00ebl</body></html>".encode("cp1252"))]
+    got = {r.id: (r.charset, r.text, r.failed) for r in text.extract_text(spark.createDataFrame(rows, "id int, content binary")).collect()}
+    assert got == {1: (None, None, True), 3: ("UTF-8", "", False), 4: ("UTF-16LE", "é", False), 5: ("UTF-8", "x", False), 6: ("windows-1252", "été à Noël", False)}
+
+
 def test_extract_text(spark):
     pages = [
         (1, b"<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><p>a&nbsp;&amp;\n<b>b</b></p><script>var t='</p>';</script><div>c &eacute;</div></body></html>"),
@@ -252,7 +281,7 @@ def test_extract_text(spark):
     ]
     out = text.extract_text(spark.createDataFrame(pages, "id int, content binary"))
     got = {r.id: (r.text, r.failed) for r in out.collect()}
-    assert got == {1: ("a &\nb\nc é", False), 2: ("plain <b>text</b>", False), 3: (None, True), 4: (None, True), 6: ("open", False)}
+    assert got == {1: ("a &\nb\nc é", False), 2: ("plain <b>text</b>", False), 3: ("\u0100", False), 4: (None, True), 6: ("open", False)}  # 3 is UTF-16 with a mark
 
 
 def test_term_vectors(spark):

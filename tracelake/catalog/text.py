@@ -23,6 +23,25 @@ def extract_text(spark, sf):
     return out.select("page_id", "text", "failed")
 
 
+def encoded_documents(spark, sf) -> DataFrame:
+    """The documents as files of four charsets: UTF-8 or UTF-16 with a mark, UTF-16 without one, and, if they hold nothing else, Latin letters of one byte."""
+    docs = v.documents(spark, sf, heavy=True).select("doc_id", "text").where("text IS NOT NULL")
+    kind = F.pmod("doc_id", F.lit(4))
+    latin = F.col("text").rlike(r"\A[\x00-\x7F\x{A0}-\x{FF}]*\z")
+    content = (
+        F.when(kind == 0, F.concat(F.lit(b"\xfe\xff"), F.encode("text", "UTF-16BE")))
+        .when(kind == 1, F.encode("text", "UTF-16LE"))
+        .when((kind == 2) & latin, F.encode("text", "ISO-8859-1"))
+        .otherwise(F.concat(F.lit(b"\xef\xbb\xbf"), F.col("text").cast("binary")))
+    )
+    return docs.select("doc_id", content.alias("content"))
+
+
+def extract_charsets(spark, sf):
+    """Texts of files in several charsets, found again from their bytes."""
+    return op.extract_text(encoded_documents(spark, sf)).select("doc_id", "charset", "text", "failed")
+
+
 def token_rows(spark, sf) -> DataFrame:
     return op.tokens(v.documents(spark, sf, heavy=True).select("doc_id", "text"))
 
@@ -51,6 +70,7 @@ def tfidf(spark, sf):
 
 QUERIES = {
     "extract_text": extract_text,
+    "extract_charsets": extract_charsets,
     "tokens": tokens,
     "tf": lambda s, d: op.term_frequencies(vectors(s, d)),
     "document_frequency": document_frequency,
@@ -75,6 +95,12 @@ for _code, _char in _CODES:
 _TIDY = rf"trim(regexp_replace(regexp_replace({_ENTITIES}, '[ \t\r\f\x0B\x{{A0}}]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"
 
 ORACLES = {
+    "extract_charsets": """SELECT doc_id, text, false AS failed,
+        CASE doc_id % 4 WHEN 0 THEN 'UTF-16BE' WHEN 1 THEN 'UTF-16LE'
+          WHEN 2 THEN CASE WHEN regexp_full_match(text, '[\\x00-\\x7F]*') THEN 'UTF-8'
+            WHEN regexp_full_match(text, '[\\x00-\\x7F\\x{A0}-\\x{FF}]*') THEN 'windows-1252' ELSE 'UTF-8' END
+          ELSE 'UTF-8' END AS charset
+      FROM documents WHERE text IS NOT NULL""",
     "extract_text": f"SELECT page_id, {_TIDY} AS text, false AS failed FROM ({_PAGE})",
     "tokens": _T + "SELECT doc_id, len(l) AS n, array_to_string(l, ' ') AS tokens FROM tok",
     "tf": _T + "SELECT term, doc_id, tf FROM tf0 JOIN st USING (term)",
