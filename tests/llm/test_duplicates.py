@@ -73,6 +73,18 @@ def test_every_pair_within_the_distance_shares_a_key():
         assert np.intersect1d(keys[0], keys[1]).size
 
 
+def test_anchors_and_hashes_by_windows_are_those_of_the_whole_text(monkeypatch):
+    rng = np.random.default_rng(5)
+    for data in (rng.integers(0, 4, 5000).astype(np.uint8), np.zeros(700, dtype=np.uint8), rng.integers(0, 256, 50).astype(np.uint8)):
+        whole = suffix_dedup.anchors(data)
+        hashes = suffix_dedup._piece_hashes(data, whole[2], whole[3] + suffix_dedup.LENGTH)
+        for window in (1, 31, 500):
+            monkeypatch.setattr(suffix_dedup, "WINDOW", window)
+            assert all((a == b).all() for a, b in zip(suffix_dedup.anchors(data), whole, strict=True))
+            assert (suffix_dedup._piece_hashes(data, whole[2], whole[3] + suffix_dedup.LENGTH) == hashes).all()
+            monkeypatch.undo()
+
+
 def test_near_copies_leave_and_columns_stay(docs, nothing):
     kept = without_near_duplicates(docs)
     assert kept.columns == docs.columns

@@ -46,6 +46,8 @@ PIECE_BUCKETS = 4  # buckets of pieces for each bucket of anchors
 SHARD_PIECES = 30_000
 #: Text from which hashes or pieces are gathered before they are sent; bounds a worker's memory, results don't depend on it.
 SLICE_BYTES = 8 << 20
+#: Bytes of a text, or of the pieces of a bucket, that are hashed at once; at most ``_POSITION``. Bounds memory, results don't depend on it.
+WINDOW = 1 << 18
 _BATCH_ROWS = 1 << 16
 _WHOLE = -1
 _POSITION = np.uint64((1 << 28) - 1)
@@ -53,11 +55,27 @@ _BASE = 0xC2B2AE3D27D4EB4F
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a text: each anchor's place, its hash, and the first and last string start that has it."""
+    """Of a text: each anchor's place, its hash, and the first and last string start that has it.
+
+    The strings are taken in windows of ``WINDOW`` starts; an anchor of strings on both sides of a window's edge is put together again.
+    """
     strings = len(data) - LENGTH + 1
     if strings <= 0:
         none = np.zeros(0, dtype=np.int64)
         return none, none.astype(np.uint64), none, none
+    parts = []
+    for at in range(0, strings, WINDOW):
+        place, gram, first, last = _window_anchors(data[at : at + WINDOW + LENGTH - 1])
+        parts.append((place + at, gram, first + at, last + at))
+    if len(parts) == 1:
+        return parts[0]
+    place, gram, first, last = (np.concatenate(p) for p in zip(*parts, strict=True))
+    new = np.concatenate((np.ones(1, dtype=bool), place[1:] != place[:-1]))
+    return place[new], gram[new], first[new], last[np.append(new[1:], True)]
+
+
+def _window_anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    strings = len(data) - LENGTH + 1
     one = BYTE_VALUES[data]
     powers = {n: np.uint64(pow(_BASE, n, 1 << 64)) for n in (1, 2, 4, 8)}
     two = one[:-1] * powers[1] + one[1:]
@@ -86,6 +104,18 @@ def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
     return rows
 
 
+def _piece_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of the bytes of short pieces in order of ``start``, a window at a time."""
+    found = np.empty(len(start), dtype=np.uint64)
+    at = 0
+    while at < len(start):
+        base = int(start[at])
+        to = int(np.searchsorted(start, base + WINDOW))
+        found[at:to] = span_hashes(BYTE_VALUES[data[base : int(end[to - 1])]], start[at:to] - base, end[at:to] - base)
+        at = to
+    return found
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers as a small blob: differences, split into planes of bytes, compressed."""
     step = np.diff(values, prepend=values[:1] * 0)
@@ -190,7 +220,7 @@ def _deal_pieces(bits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
                 wanted = np.isin((hashes >> np.uint64(16)).astype(np.uint32), np.asarray(shared, dtype=np.int32).view(np.uint32))
                 if wanted.any():
                     hashes, first, last = hashes[wanted], first[wanted], last[wanted]
-                    keys = span_hashes(BYTE_VALUES[data], first, last + LENGTH) ^ hashes
+                    keys = _piece_hashes(data, first, last + LENGTH) ^ hashes
                     parts.append((i, data, hashes, first, last, keys))
             if parts:
                 yield from _piece_rows(parts, bits, batch)
@@ -244,14 +274,16 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     Ranks by eight bytes are refined by doubling; a suffix that is alone with its rank is settled.
     """
     n = len(data)
-    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8))).astype(np.uint64)
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
     key = np.zeros(n, dtype=np.uint64)
     for j in range(8):
-        key = (key << np.uint64(8)) | padded[j : j + n]
-    have, room = 8, ends - np.arange(n)
+        key <<= np.uint64(8)
+        key |= padded[j : j + n]
+    have, room = 8, (ends - np.arange(n)).astype(np.int32)
     at = np.flatnonzero(room >= have)
-    rank = np.full(n, -1, dtype=np.int64)
+    rank = np.full(n, -1, dtype=np.int32)  # a shard has far less than 2**31 bytes
     rank[at] = _ranked(key[at])
+    del key, padded
     while have < depth:
         step = min(have, depth - have)
         at = np.flatnonzero(room >= have + step)
@@ -322,16 +354,18 @@ def _mark(bucket: pd.DataFrame) -> pd.DataFrame:
     size, data = (np.concatenate([p[k] for p in pieces]) for k in range(2))
     piece, docs, texts, starts = (np.concatenate([u[k] for u in uses]) for k in range(4))
     ends = np.cumsum(size)
-    _, one, same = np.unique(span_hashes(BYTE_VALUES[data], ends - size, ends), return_index=True, return_inverse=True)
+    _, one, same = np.unique(_piece_hashes(data, ends - size, ends), return_index=True, return_inverse=True)
     piece = same[piece]
     smallest = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(smallest, piece, docs)
     least = _least_by_string(data, (ends - size)[one], size[one], smallest)  # pieces x (SPREAD + 1)
-    earlier = least[piece] < docs[:, None]
-    mask = (earlier * (1 << np.arange(SPREAD + 1))).sum(axis=1)
+    mask = np.empty(len(piece), dtype=np.int64)
+    for at in range(0, len(piece), _BATCH_ROWS):
+        part = slice(at, at + _BATCH_ROWS)
+        mask[part] = (least[piece[part]] < docs[part, None]) @ (1 << np.arange(SPREAD + 1))
     hit = mask > 0
     found = pd.DataFrame({"doc_id": docs[hit], "text_id": texts[hit], "mark": starts[hit].astype(np.int64) << 31 | mask[hit]})
-    del pieces, uses, size, data, piece, docs, texts, starts, ends, least, earlier, mask
+    del pieces, uses, size, data, piece, docs, texts, starts, ends, least, mask
     return _trimmed(found)
 
 
