@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import clustering, content, entries, inventory, known, reports, scripts, search, similarity, text
+from . import clustering, content, entries, inventory, known, reports, scripts, search, similarity, text, written
 
-_AREAS = (entries, inventory, known, content, search, text, clustering, similarity, scripts, reports)
+_AREAS = (entries, inventory, known, content, search, text, clustering, similarity, scripts, reports, written)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
