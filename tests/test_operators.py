@@ -324,6 +324,45 @@ def test_canopy_seeds_equal_the_sequential_rule(spark):
     assert len(want) > 5 and got == want
 
 
+def test_bounds_of_centres_hold_and_spare_products(spark, monkeypatch):
+    """Tight groups far apart, one of two lone vectors at a tie: the bounds decide all but what is close."""
+    rng = np.random.default_rng(1)
+    dense = np.abs(rng.normal(0, 0.02, (120, 40)))
+    dense[np.arange(120), np.arange(120) % 6] += 1.0
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    idx = list(range(40))
+    vectors = materialize(spark.createDataFrame([(i, idx, v.tolist()) for i, v in enumerate(dense)], cluster.VECTOR))
+    entries, nearest = cluster.canopy(vectors)
+    means = np.zeros((6, 40))
+    for r in entries.collect():
+        means[r.c, r.idx] = r.val
+    unit = means / np.linalg.norm(means, axis=1, keepdims=True)
+    angles = np.arccos(np.clip(dense @ unit.T, -1, 1))
+    rows = nearest.collect()
+    assert len(rows) == 120
+    for r in rows:
+        assert r.upper >= angles[r.id, r.c] - 1e-9 and r.lower <= np.delete(angles[r.id], r.c).min() + 1e-9
+    assert cluster.undecided(nearest).count() == 0
+    members = cluster.reassign(vectors, entries, nearest)
+    assert members.where("dot is not null").count() == 0 and {(r.id, r.c) for r in members.collect()} == {(i, i % 6) for i in range(120)}
+    # One centre goes over to another group: only documents near it lose their bound, whatever the others think of such a move.
+    means[2] = unit[3] + 0.2 * unit[2]
+    unit2 = means / np.linalg.norm(means, axis=1, keepdims=True)
+    angles = np.arccos(np.clip(dense @ unit2.T, -1, 1))
+    turned = np.arccos(np.clip((unit * unit2).sum(axis=1), -1, 1))
+    now = spark.createDataFrame([(c, i, float(means[c, i])) for c in range(6) for i in range(40)], "c bigint, idx int, val double")
+    shifts = spark.createDataFrame([(c, float(turned[c])) for c in range(6)], "c bigint, shift double")
+    for block in (1024, 2):
+        monkeypatch.setattr(cluster, "BLOCK_VECTORS", block)
+        moved = cluster.moved_bounds(members, shifts, vectors, now)
+        for r in moved.collect():
+            assert r.upper >= angles[r.id, r.c] - 1e-9 and r.lower <= np.delete(angles[r.id], r.c).min() + 1e-9
+        assert {r.c for r in cluster.undecided(moved).collect()} == {2, 3}
+        assert {(r.id, r.c) for r in cluster.reassign(vectors, now, moved).collect()} == set(enumerate(angles.argmin(axis=1)))
+    tied = spark.createDataFrame([(1, 2, 0.5, 0.5), (2, 2, 0.4, 0.5), (3, 2, 0.5, None)], "id bigint, c bigint, upper double, lower double")
+    assert {r.id for r in cluster.undecided(tied).collect()} == {1, 3}
+
+
 def test_kmeans_against_dense(spark, monkeypatch):
     vectors, dense = vectors_of(spark)
     seeds = sequential_seeds(dense, 0.65)
@@ -350,6 +389,8 @@ def test_kmeans_against_dense(spark, monkeypatch):
     distance = 1 - dense @ unit.T
     for r in assigned.collect():
         assert distance[r.id, number[r.c]] == pytest.approx(distance[r.id].min()) and r.distance == pytest.approx(distance[r.id, number[r.c]])
+    bounded, _ = cluster.kmeans(vectors, entries, convergence=0.01, start=nearest)
+    assert sorted((r.id, r.c, round(r.distance, 9)) for r in bounded.collect()) == sorted((r.id, r.c, round(r.distance, 9)) for r in assigned.collect())
     terms = spark.range(200).selectExpr("concat('t', id) term", "id idx", "1 df")
     topics = cluster.cluster_topics(assigned, final, terms).collect()
     assert sum(t.n for t in topics) == len(dense) and all(len(t.kw.split(", ")) <= 10 for t in topics)
