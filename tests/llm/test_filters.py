@@ -10,6 +10,7 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 from tracelake.llm import catalog, licenses, url_filter
+from tracelake.llm import top_k as lists
 from tracelake.llm.decontaminate import TestItems, contamination, without_test_items
 from tracelake.llm.language_id import _LETTER, ByteNetwork, Predictor, language_id
 from tracelake.llm.top_k import top_k
@@ -252,3 +253,70 @@ def test_top_k_of_odd_vectors(spark):
             want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     assert got == sorted(want)
     assert top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def _plain_top(query_id, query, ids, data, k):
+    scores = [(-sum(int(a) * int(b) for a, b in zip(query, v)), int(i)) for i, v in zip(ids, data) if i != query_id]
+    return [(i, -s) for s, i in sorted(scores)[:k]]
+
+
+@pytest.mark.parametrize("scale", [1, 3, 2**10, 2**28])
+def test_reading_lists_equals_all_products(scale):
+    """Ties, repeated ids, zero and negative components, single candidates, and sums beyond 2**53."""
+    rng = np.random.default_rng(scale)
+    for n, dims in ((1, 1), (2, 3), (90, 4), (300, 12)):
+        data = rng.integers(-2, 3, (n, dims)) * scale + (rng.integers(0, 2, (n, dims)) if scale > 1 else 0)
+        ids = rng.integers(0, max(2, n * 2 // 3), n)
+        block = lists.SortedLists.of(ids, data)
+        for query in (*data[:20], np.zeros(dims, dtype=np.int64), -data[0]):
+            for k in (1, 5, 400):
+                want = _plain_top(1, query, ids, data, k)
+                got = list(zip(*(x.tolist() for x in lists.best_of_block(1, query, block, k))))
+                assert got == want
+                if want:  # with what other blocks made sure
+                    floor = want[len(want) // 2][1]
+                    got = list(zip(*(x.tolist() for x in lists.best_of_block(1, query, block, k, floor))))
+                    assert got == [w for w in want if w[1] >= floor]
+
+
+def test_nothing_behind_the_stop_is_read():
+    """A few candidates stand out, so reading stops early; what lies behind in the lists may be anything."""
+    rng = np.random.default_rng(7)
+    data = rng.integers(0, 40, (1600, 5))
+    data[:30] += 1000
+    query, ids = np.array([3, 1, 2, 1, 5]), np.arange(1600)
+    want = _plain_top(-1, query, ids, data, 20)
+    block = lists.SortedLists.of(ids, data)
+    reader = lists.Reader(block, query)
+    reader.read(100)
+    assert (reader.sums + reader.base <= data @ query).all() and (reader.upper() + reader.base >= data @ query).all()
+    assert reader.outsider() + reader.base < want[-1][1]
+    block.values[:, 100:] = -(2**40)  # every candidate in the running was shown by all lists before
+    assert list(zip(*(x.tolist() for x in lists.best_of_block(-1, query, block, 20)))) == want
+    untouched = lists.SortedLists.of(ids, data)
+    untouched.order, untouched.values = None, None  # a floor out of reach: no list is opened
+    assert len(lists.best_of_block(-1, query, untouched, 20, floor=10**6)[0]) == 0
+
+
+def test_only_scores_beyond_64_bits_are_an_error():
+    block = lists.SortedLists.of([1, 2, 3], [[2**40], [5], [-(2**40)]])
+    with pytest.raises(OverflowError):
+        lists.best_of_block(0, np.array([2**30]), block, 1)
+    assert [x.tolist() for x in lists.best_of_block(1, np.array([2**30]), block, 1)] == [[2], [5 * 2**30]]
+
+
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    """Rows that leave the tasks are in proportion to queries and slices, whatever the number of blocks; ties across blocks go to the smaller id."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(-3, 4, (400, 6)) / 64
+    monkeypatch.setattr(lists, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(lists, "HELD", 2)
+    vectors = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(data)], "vec_id long, embedding array<double>, score string").repartition(9)
+    got = top_k(vectors, F.col("vec_id") % 20 == 0, k=7).collect()
+    whole = np.floor(data * 64).astype(int)
+    want = {(q, r + 1, i, s) for q in range(0, 400, 20) for r, (i, s) in enumerate(_plain_top(q, whole[q], range(400), whole, 7))}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    best = lists.Best(np.array([0, 20]), whole[[0, 20]], 7)
+    for start in range(0, 400, 50):
+        best.see(lists.SortedLists.of(np.arange(start, start + 50), whole[start : start + 50]))
+    assert len(best.rows()) == 14

@@ -1,21 +1,22 @@
 """Exact top-k inner products by reading sorted lists without random access.
 
-Vector components become integers, ``floor(SCALE * x)``. Candidates stand in blocks of ``BLOCK`` vectors. In a block each dimension has two lists, by
-falling and by rising value: a query reads the first where its own component is positive, the second where it is negative, so
-every list brings its best contributions first. All lists are read to the same depths, one after the other. Of a candidate the contributions read so far are
-known; an unread one is at most that of the last value read (upper bound) and at least that of the last value in the list (lower bound).
-Candidates that no list has shown yet are bounded by the last values alone. A block is left as soon as neither they nor a
-candidate seen can reach the k-th best lower bound that the query has; otherwise reading goes on to the end, where both bounds are the score.
+Vector components become integers, ``floor(SCALE * x)``. Candidates stand in blocks of ``BLOCK`` vectors, and a block is stored as its lists: for each dimension the
+places of the candidates and their values by falling value. A query reads a list from the top where its own component is positive, from the bottom where it is
+negative, and not at all where it is zero, so every list brings its best contributions first.
 
-For many queries at once the bounds of a depth are two matrix products: the components with every unread one replaced by the last value read, or by
-the list's last value. Whole numbers below 2**53 have exact floating-point products; larger ones are multiplied as integers.
+Contributions are counted from the worst value of their list, so none is negative. A candidate's running sum of what was read is then its lower bound,
+and the upper bound adds, for each list that has not shown it yet, what the value read last would give. Lists are read in growing steps. Once a candidate that no list has shown
+cannot reach the k-th best lower bound that the query has, only candidates whose upper bound reaches it stay, and the rest of the lists is read for them alone. A query that
+cannot gain from a block at all reads nothing there. The vectors themselves are not kept.
 
-Queries and candidates meet in blocks: every block of candidates is sent once to each block of queries. Results of a pair of blocks are the k best of each
-query, and a window keeps the best k of them.
+Queries and candidates meet in blocks: every block of candidates is sent once to each block of queries. A task keeps the k best of each query over all blocks it
+sees and passes them on at its end; a window keeps the best k of them.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id, nor candidates whose length differs
 from the query's (each length is searched by itself); with fewer than k candidates all are returned; equal scores go to the smaller id; a repeated id is a candidate as often as
-it occurs, but no row is a candidate for a query with its own id; other columns are ignored.
+it occurs, but no row is a candidate for a query with its own id; of rows that repeat a query's id the least vector is the query; other columns are ignored; an empty table gives
+no rows. Very long vectors only make wider blocks. Sums that stay below 2**53 are kept as doubles, below 2**63 as 64-bit integers, others as integers of any
+length, so bounds are always exact; a score among a block's k best that does not fit in a long ends the job with ``OverflowError``.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ SCALE = 64
 BLOCK = 2048
 QUERY_BLOCK = 2048
 BLOCKS_PER_TASK = 4
-#: Shares of the lists that are read between two looks at the bounds.
-DEPTHS = (0.1, 0.4, 1.0)
+#: The lists are read to 1/FIRST of their length before the first look at the bounds, then to twice that depth each time.
+FIRST = 16
+#: Blocks of queries whose results a task holds at once.
+HELD = 64
 
 
 def whole_numbers(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -45,13 +48,115 @@ def whole_numbers(vectors: DataFrame, id_column: str, vector_column: str) -> Dat
     return usable.select(F.col(id_column).cast("long").alias("id"), F.size(x).alias("dims"), F.transform(x, lambda e: F.floor(e.cast("double") * SCALE).cast("long")).alias("v"))
 
 
-def _block(dims: int, ids, vectors) -> pd.DataFrame:
-    data = np.array(list(vectors), dtype=np.int64)
-    return pd.DataFrame({"dims": [dims], "ids": [np.asarray(ids, dtype=np.int64).tobytes()], "data": [data.tobytes()]})
+def _query_block(group: pd.DataFrame) -> pd.DataFrame:
+    data = np.array(list(group["v"]), dtype=np.int64)
+    ids = group["id"].to_numpy(dtype=np.int64)
+    first = group.iloc[0]
+    return pd.DataFrame({"dims": [first["dims"]], "query_ids": [ids.tobytes()], "queries": [data.tobytes()], "query_block": [first["query_block"]]})
+
+
+class SortedLists:
+    """A block of candidates as one list for each dimension, by falling value."""
+
+    def __init__(self, ids: np.ndarray, order: np.ndarray, values: np.ndarray):
+        self.ids, self.order, self.values = ids, order, values
+        self.top, self.bottom = values[:, 0].copy(), values[:, -1].copy()
+
+    @classmethod
+    def of(cls, ids, vectors) -> SortedLists:
+        columns = np.array(list(vectors), dtype=np.int64).T
+        order = np.argsort(-columns, axis=1, kind="stable").astype(np.int32)
+        return cls(np.asarray(ids, dtype=np.int64), order, np.take_along_axis(columns, order, axis=1))
+
+    def row(self) -> pd.DataFrame:
+        return pd.DataFrame({"dims": [len(self.order)], "ids": [self.ids.tobytes()], "places": [self.order.tobytes()], "listed": [self.values.tobytes()]})
+
+    @classmethod
+    def of_row(cls, row) -> SortedLists:
+        ids = np.frombuffer(row.ids, dtype=np.int64)
+        return cls(ids, np.frombuffer(row.places, dtype=np.int32).reshape(row.dims, -1), np.frombuffer(row.listed, dtype=np.int64).reshape(row.dims, -1))
+
+
+class Reader:
+    """One query's way through the lists of a block."""
+
+    def __init__(self, block: SortedLists, query: np.ndarray):
+        self.block, self.size = block, len(block.ids)
+        self.up, self.down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        self.factor = np.concatenate((query[self.up], query[self.down]))
+        self.best = np.concatenate((block.top[self.up], block.bottom[self.down]))
+        self.worst = np.concatenate((block.bottom[self.up], block.top[self.down]))
+        reach = sum(abs(f) * (abs(b) + abs(w)) for f, b, w in zip(self.factor.tolist(), self.best.tolist(), self.worst.tolist(), strict=True))
+        self.number = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
+        if self.number is object:
+            self.factor = self.factor.astype(object)
+        self.base = int((self.factor * self.worst).sum())
+        self.sums = np.zeros(self.size, dtype=self.number)
+        self.last, self.depth = self.best, 0
+
+    def _lists(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values at these depths, one row for each list that the query uses."""
+        block, n = self.block, self.size
+        places = np.concatenate((block.order[self.up, start:end], block.order[self.down, n - end : n - start][:, ::-1]))
+        return places, np.concatenate((block.values[self.up, start:end], block.values[self.down, n - end : n - start][:, ::-1]))
+
+    def _added(self, places: np.ndarray, amounts: np.ndarray) -> np.ndarray:
+        if self.number is np.float64:
+            return np.bincount(places, weights=amounts, minlength=self.size)
+        out = np.zeros(self.size, dtype=self.number)
+        np.add.at(out, places, amounts)
+        return out
+
+    def read(self, depth: int) -> None:
+        """Read all lists on to this depth."""
+        places, values = self._lists(self.depth, depth)
+        self.sums += self._added(places.ravel(), (self.factor[:, None] * (values - self.worst[:, None])).ravel())
+        if values.size:
+            self.last = values[:, -1]
+        self.depth = depth
+
+    def outsider(self) -> int:
+        """What a candidate that no list has shown can add at most."""
+        return int((self.factor * (self.last - self.worst)).sum()) if self.depth < self.size else 0
+
+    def upper(self) -> np.ndarray:
+        """Upper bounds of all candidates, from the lists that have not shown them."""
+        gain = self.factor * (self.last - self.worst)
+        places, _ = self._lists(0, self.depth)
+        return self.sums + gain.sum() - self._added(places.ravel(), np.repeat(gain, self.depth))
+
+    def finish(self, wanted: np.ndarray) -> None:
+        """Read the rest of the lists for the wanted candidates."""
+        places, values = self._lists(self.depth, self.size)
+        at, to = np.nonzero(wanted[places])
+        self.sums += self._added(places[at, to], self.factor[at] * (values[at, to] - self.worst[at]))
+
+
+def best_of_block(query_id: int, query: np.ndarray, block: SortedLists, k: int, floor: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of at most k candidates: all that belong to the k best of the block and reach ``floor``."""
+    reader, n = Reader(block, query), len(block.ids)
+    able = block.ids != query_id
+    least = floor - reader.base  # sums are counted from the worst values
+    depth = -(-n // FIRST)
+    while reader.outsider() >= least and reader.depth < n:
+        reader.read(min(depth, n))
+        depth = 2 * reader.depth
+        sure = reader.sums[able]
+        if len(sure) >= k:
+            least = max(least, np.partition(sure, len(sure) - k)[len(sure) - k])
+    if reader.depth == 0:
+        return block.ids[:0], np.empty(0, dtype=np.int64)
+    wanted = able & (reader.upper() >= least) if reader.depth < n else able & (reader.sums >= least)
+    if reader.depth < n and wanted.any():
+        reader.finish(wanted)
+    can = np.flatnonzero(wanted & (reader.sums >= least))
+    can = can[np.argsort(block.ids[can], kind="stable")]
+    can = can[np.argsort(-reader.sums[can], kind="stable")][:k]
+    return block.ids[can], np.array([int(s) + reader.base for s in reader.sums[can]], dtype=np.int64)
 
 
 def _packed(rows: DataFrame) -> DataFrame:
-    """Blocks of at most ``BLOCK`` vectors of one length, made where the rows are read: ``dims, ids, data``."""
+    """Blocks of at most ``BLOCK`` vectors of one length, sorted where the rows are read: ``dims, ids, places, listed``."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
@@ -60,98 +165,52 @@ def _packed(rows: DataFrame) -> DataFrame:
                 part = held.setdefault(dims, [])
                 part.append((i, v))
                 if len(part) == BLOCK:
-                    yield _block(dims, *zip(*part, strict=True))
+                    yield SortedLists.of(*zip(*part, strict=True)).row()
                     part.clear()
-        for dims, part in held.items():
+        for part in held.values():
             if part:
-                yield _block(dims, *zip(*part, strict=True))
+                yield SortedLists.of(*zip(*part, strict=True)).row()
 
-    return rows.mapInPandas(pack, "dims int, ids binary, data binary")
+    return rows.mapInPandas(pack, "dims int, ids binary, places binary, listed binary")
 
 
-class SortedLists:
-    """A block of candidates with its lists."""
-
-    def __init__(self, ids: np.ndarray, data: np.ndarray):
-        self.ids, self.whole, self.data = ids, data, data.astype(np.float64)
-        self.falling = -np.sort(-self.data, axis=0)
-
-    def read(self, share: float) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Per side of the lists the components, with unread ones replaced for the upper and for the lower bound; whether all was read."""
-        depth = max(1, min(len(self.ids), int(np.ceil(share * len(self.ids)))))
-        high, low = self.falling[depth - 1], self.falling[-depth]
-        least, most = self.falling[-1], self.falling[0]
-        upper = np.concatenate((np.maximum(self.data, high), -np.minimum(self.data, low)), axis=1)
-        lower = np.concatenate((np.where(self.data >= high, self.data, least), -np.where(self.data <= low, self.data, most)), axis=1)
-        return upper, lower, depth == len(self.ids)
-
-
-def best_of_block(query_ids: np.ndarray, queries: np.ndarray, block: SortedLists, k: int, floor: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query that may gain from the block: its number, ids and scores of the k best there.
-
-    ``floor``: the k-th best score each query is sure of so far; it is raised in place.
-    """
-    largest = float(np.abs(queries.astype(np.float64)).max()) * float(np.abs(block.data).max()) * queries.shape[1]
-    if largest >= 2.0**53:
-        yield from _exact_block(query_ids, queries, block, k)
-        return
-    sides = np.concatenate((np.maximum(queries, 0), np.maximum(-queries, 0)), axis=1).astype(np.float64)
-    active = np.arange(len(queries))
-    for share in DEPTHS:
-        upper, lower, ended = block.read(share)
-        most = sides[active] @ upper.T
-        own = query_ids[active][:, None] == block.ids[None, :]
-        most[own] = -np.inf
-        if ended:
-            break
-        least = sides[active] @ lower.T
-        least[own] = -np.inf
-        if least.shape[1] >= k:
-            sure = np.partition(least, least.shape[1] - k, axis=1)[:, least.shape[1] - k]
-            floor[active] = np.maximum(floor[active], sure)
-        # An outsider's bound is made of the values read last, so the largest upper bound holds for outsiders too.
-        active = active[most.max(axis=1) >= floor[active]]
-        if not len(active):
-            return
-    for row, number in enumerate(active.tolist()):
-        scores = most[row]
-        can = np.flatnonzero(scores >= floor[number])
-        can = can[~np.isneginf(scores[can])]
-        if len(can):
-            chosen = can[np.lexsort((block.ids[can], -scores[can]))[:k]]
-            if len(chosen) == k:
-                floor[number] = max(floor[number], scores[chosen[-1]])
-            yield number, block.ids[chosen], scores[chosen]
-
-
-def _exact_block(query_ids: np.ndarray, queries: np.ndarray, block: SortedLists, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The same for components so large that products need whole-number arithmetic: the lists are read to the end."""
-    for number in range(len(queries)):
-        scores = block.whole @ queries[number]
-        can = np.flatnonzero(block.ids != query_ids[number])
-        chosen = can[np.lexsort((block.ids[can], -scores[can]))[:k]]
-        if len(chosen):
-            yield number, block.ids[chosen], scores[chosen]
+class Best:
+    """The k best of each query of a block, over all blocks of candidates so far."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        self.query_ids, self.queries, self.k = query_ids, queries, k
+        self.ids = [np.empty(0, dtype=np.int64)] * len(query_ids)
+        self.scores = list(self.ids)
+
+    def see(self, block: SortedLists) -> None:
+        for n, query in enumerate(self.queries):
+            floor = int(self.scores[n][-1]) if len(self.scores[n]) == self.k else -math.inf
+            ids, scores = best_of_block(int(self.query_ids[n]), query, block, self.k, floor)
+            if len(ids):
+                ids, scores = np.concatenate((self.ids[n], ids)), np.concatenate((self.scores[n], scores))
+                chosen = np.lexsort((ids, -scores))[: self.k]
+                self.ids[n], self.scores[n] = ids[chosen], scores[chosen]
+
+    def rows(self) -> pd.DataFrame:
+        counts = [len(i) for i in self.ids]
+        return pd.DataFrame({"query_id": np.repeat(self.query_ids, counts), "vec_id": np.concatenate(self.ids), "score": np.concatenate(self.scores)})
 
 
 def _search(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floors: dict[tuple[int, int], np.ndarray] = {}  # what this task's earlier blocks made sure, by block of queries
+        held: dict[tuple[int, int], Best] = {}
         for batch in batches:
             for row in batch.itertuples():
-                query_ids, ids = np.frombuffer(row.query_ids, dtype=np.int64), np.frombuffer(row.ids, dtype=np.int64)
-                queries = np.frombuffer(row.queries, dtype=np.int64).reshape(-1, row.dims)
-                block = SortedLists(ids, np.frombuffer(row.data, dtype=np.int64).reshape(-1, row.dims))
-                floor = floors.setdefault((row.query_block, row.dims), np.full(len(queries), -np.inf))
-                found = list(best_of_block(query_ids, queries, block, k, floor))
-                if found:
-                    yield pd.DataFrame(
-                        {
-                            "query_id": np.repeat([query_ids[n] for n, _, _ in found], [len(i) for _, i, _ in found]),
-                            "vec_id": np.concatenate([i for _, i, _ in found]),
-                            "score": np.concatenate([s for _, _, s in found]).astype(np.int64),
-                        }
-                    )
+                key = (row.query_block, row.dims)
+                if key not in held:
+                    if len(held) == HELD:
+                        for best in held.values():
+                            yield best.rows()
+                        held.clear()
+                    held[key] = Best(np.frombuffer(row.query_ids, dtype=np.int64), np.frombuffer(row.queries, dtype=np.int64).reshape(-1, row.dims), k)
+                held[key].see(SortedLists.of_row(row))
+        for best in held.values():
+            yield best.rows()
 
     return search
 
@@ -164,10 +223,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "ve
     query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
     slices = max(1, math.ceil(n_rows / (BLOCK * BLOCKS_PER_TASK)))
     numbered = wanted.withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)))
-    queries = numbered.groupBy("query_block", "dims").applyInPandas(
-        lambda g: _block(g["dims"].iloc[0], g["id"], g["v"]).rename(columns={"ids": "query_ids", "data": "queries"}).assign(query_block=g["query_block"].iloc[0]),
-        "dims int, query_ids binary, queries binary, query_block long",
-    )
+    queries = numbered.groupBy("query_block", "dims").applyInPandas(_query_block, "dims int, query_ids binary, queries binary, query_block long")
     # Each block of candidates is in one slice; (block of queries, slice) is dealt to tasks.
     queries = queries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<long>")))
     candidates = _packed(rows).withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(slices)))
