@@ -61,6 +61,16 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, order: np.ndarray, values: np.ndarray):
         self.ids, self.order, self.values = ids, order, values
         self.top, self.bottom = values[:, 0].copy(), values[:, -1].copy()
+        self._gains: dict[type, tuple[np.ndarray, np.ndarray]] = {}
+
+    def both_ways(self, number: type) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and values counted from the worst, of the lists from the top and then of the same lists from the bottom; made once."""
+        if number not in self._gains:
+            exact = object if number is object else np.int64
+            values, top, bottom = self.values.astype(exact), self.top.astype(exact)[:, None], self.bottom.astype(exact)[:, None]
+            gains = np.concatenate((values - bottom, top - values[:, ::-1])).astype(number)
+            self._gains[number] = np.concatenate((self.order, self.order[:, ::-1])).astype(np.intp), gains
+        return self._gains[number]
 
     @classmethod
     def of(cls, ids, vectors) -> SortedLists:
@@ -83,22 +93,23 @@ class Reader:
     def __init__(self, block: SortedLists, query: np.ndarray):
         self.block, self.size = block, len(block.ids)
         self.up, self.down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        self.factor = np.concatenate((query[self.up], query[self.down]))
-        self.best = np.concatenate((block.top[self.up], block.bottom[self.down]))
-        self.worst = np.concatenate((block.bottom[self.up], block.top[self.down]))
-        reach = sum(abs(f) * (abs(b) + abs(w)) for f, b, w in zip(self.factor.tolist(), self.best.tolist(), self.worst.tolist(), strict=True))
+        factor = np.concatenate((query[self.up], query[self.down]))
+        best = np.concatenate((block.top[self.up], block.bottom[self.down]))
+        worst = np.concatenate((block.bottom[self.up], block.top[self.down]))
+        parts = list(zip(factor.tolist(), best.tolist(), worst.tolist(), strict=True))
+        reach = sum(abs(f) * (abs(b) + abs(w)) for f, b, w in parts)
         self.number = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
-        if self.number is object:
-            self.factor = self.factor.astype(object)
-        self.base = int((self.factor * self.worst).sum())
-        self.sums = np.zeros(self.size, dtype=self.number)
-        self.last, self.depth = self.best, 0
-
-    def _lists(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and values at these depths, one row for each list that the query uses."""
-        block, n = self.block, self.size
-        places = np.concatenate((block.order[self.up, start:end], block.order[self.down, n - end : n - start][:, ::-1]))
-        return places, np.concatenate((block.values[self.up, start:end], block.values[self.down, n - end : n - start][:, ::-1]))
+        self.base = sum(f * w for f, _, w in parts)
+        self.rows = np.concatenate((self.up, self.down + len(query)))
+        self.factor = np.array([abs(f) for f in factor.tolist()], dtype=self.number)
+        self.last = np.array([abs(b - w) for _, b, w in parts], dtype=self.number)
+        self.sums, self.depth = np.zeros(self.size, dtype=self.number), 0
+
+    def _places(self, start: int, end: int) -> np.ndarray:
+        return self.block.both_ways(self.number)[0][self.rows, start:end]
+
+    def _gains(self, start: int, end: int) -> np.ndarray:
+        return self.block.both_ways(self.number)[1][self.rows, start:end]
 
     def _added(self, places: np.ndarray, amounts: np.ndarray) -> np.ndarray:
         if self.number is np.float64:
@@ -109,27 +120,27 @@ class Reader:
 
     def read(self, depth: int) -> None:
         """Read all lists on to this depth."""
-        places, values = self._lists(self.depth, depth)
-        self.sums += self._added(places.ravel(), (self.factor[:, None] * (values - self.worst[:, None])).ravel())
-        if values.size:
-            self.last = values[:, -1]
+        gains = self._gains(self.depth, depth)
+        self.sums += self._added(self._places(self.depth, depth).ravel(), (self.factor[:, None] * gains).ravel())
+        if gains.size:
+            self.last = gains[:, -1]
         self.depth = depth
 
     def outsider(self) -> int:
         """What a candidate that no list has shown can add at most."""
-        return int((self.factor * (self.last - self.worst)).sum()) if self.depth < self.size else 0
+        return int((self.factor * self.last).sum()) if self.depth < self.size else 0
 
     def upper(self) -> np.ndarray:
         """Upper bounds of all candidates, from the lists that have not shown them."""
-        gain = self.factor * (self.last - self.worst)
-        places, _ = self._lists(0, self.depth)
-        return self.sums + gain.sum() - self._added(places.ravel(), np.repeat(gain, self.depth))
+        most = self.factor * self.last
+        return self.sums + most.sum() - self._added(self._places(0, self.depth).ravel(), np.repeat(most, self.depth))
 
     def finish(self, wanted: np.ndarray) -> None:
         """Read the rest of the lists for the wanted candidates."""
-        places, values = self._lists(self.depth, self.size)
-        at, to = np.nonzero(wanted[places])
-        self.sums += self._added(places[at, to], self.factor[at] * (values[at, to] - self.worst[at]))
+        places = self._places(self.depth, self.size).ravel()
+        at = np.flatnonzero(wanted[places])
+        gains = self._gains(self.depth, self.size).ravel()[at]
+        self.sums += self._added(places[at], self.factor[at // (self.size - self.depth)] * gains)
 
 
 def best_of_block(query_id: int, query: np.ndarray, block: SortedLists, k: int, floor: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
