@@ -36,3 +36,21 @@ def test_blocks_meet_in_tiles(spark, monkeypatch):
     assert "BroadcastHashJoin" not in _plan(found)
     got = {r.id: r.c for r in found.collect()}
     assert got == {i: int(9 * distance[i, ::9].argmin()) for i in range(90)}
+
+
+def test_dump_is_shuffled_once(spark):
+    kinds = "hash_type string, hash binary, other_hash binary, crc32 binary, filesize bigint, set_label string"
+    rows = [("md5", b"\1", b"\2", b"\3", 5, label) for label in ("m/b 1", "m/a 1", "m/b 1")]
+    dump = known.dump_hashes(spark.createDataFrame(rows, kinds), 9)
+    assert _plan(dump).count("Exchange hashpartitioning") == 1
+    assert [r.value for r in dump.collect()] == ["01\t0 => [NSRL => [9 => 1], crc32 => [9 => 03], filesize => [9 => 5], m/a 1 => [9 => 1], m/b 1 => [9 => 1], sha1 => [9 => 02]]"]
+
+
+def test_product_lists_hold_all_labels_of_a_file_in_one_row_a_kind(spark):
+    files = spark.createDataFrame([(bytearray(b"s"), bytearray(b"m"), bytearray(b"c"), 5, 1), (bytearray(b"t"), bytearray(b"n"), bytearray(b"c"), 5, 2)], "sha1 binary, md5 binary, crc32 binary, size bigint, prod_code int")
+    products = spark.createDataFrame([(1, "p", "1", "7"), (1, "p", "2", "7"), (2, "q", "1", "8")], "code int, name string, version string, mfg_code string")
+    mfgs = spark.createDataFrame([("7", "M")], "code string, name string")
+    got = known.product_lists(files, products, mfgs)
+    assert sorted((r.hash_type, r.set_labels) for r in got.collect()) == [("md5", ["M/p 1", "M/p 2"]), ("sha1", ["M/p 1", "M/p 2"])]
+    lines = known.dump_hashes(known.nsrl_products(files, products, mfgs), 1)
+    assert sorted(r.value for r in known.dump_hashes(got, 1).collect()) == sorted(r.value for r in lines.collect())
