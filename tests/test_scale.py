@@ -38,6 +38,17 @@ def test_blocks_meet_in_tiles(spark, monkeypatch):
     assert got == {i: int(9 * distance[i, ::9].argmin()) for i in range(90)}
 
 
+def test_order_of_a_stored_set_is_found_without_a_shuffle_of_its_rows(spark, tmp_path):
+    from tracelake.catalog.written import _in_order
+
+    rows = [("md5", "a", 1), ("md5", "c", 2), ("md5", "b", 3), ("md5", "b", 4), ("md5", None, 5)]
+    spark.createDataFrame(rows, "hash_type string, hash string, v int").coalesce(1).write.parquet(str(tmp_path / "s"))
+    spark.createDataFrame([("md5", "c", 6), ("md5", "d", 7)], "hash_type string, hash string, v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+    found = _in_order(spark.read.parquet(str(tmp_path / "s")), "hash_type", "hash")
+    assert {r.v: (r.in_order, r.n_files) for r in found.collect()} == {1: (True, 1), 2: (True, 2), 3: (False, 1), 4: (True, 1), 6: (True, 2), 7: (True, 1)}
+    assert "Exchange hashpartitioning" not in _plan(found)
+
+
 def test_dump_is_shuffled_once(spark):
     kinds = "hash_type string, hash binary, other_hash binary, crc32 binary, filesize bigint, set_label string"
     rows = [("md5", b"\1", b"\2", b"\3", 5, label) for label in ("m/b 1", "m/a 1", "m/b 1")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..session import scratch_path
+from ..session import lookup_join, materialize, scratch_path
 from . import reports, scripts
 from . import views as v
 from .known import nsrl_products
@@ -38,14 +38,23 @@ def csv_output(spark, sf):
 
 
 def _in_order(stored: DataFrame, *keys: str) -> DataFrame:
-    """The rows with ``in_order``: whether the row before in the same file is not larger, and ``n_files``: the files that hold rows of these keys."""
-    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
-    placed = placed.withColumn("_at", F.monotonically_increasing_id())
+    """The rows with ``in_order``: whether the row before in the same file is not larger, and ``n_files``: the files that hold rows of these keys.
+
+    Rows stay where they are read. Only their keys and places are shuffled; the places of rows out of order and the keys found in several files, few in a sorted set,
+    are then looked up for each row.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    narrow = stored.select(*keys, *place)
     key = F.struct(*keys)
-    before = F.lag(key).over(Window.partitionBy("_file").orderBy("_block", "_at"))
-    ordered = placed.withColumn("in_order", F.coalesce(before <= key, F.lit(True)))
-    files = ordered.groupBy(*keys).agg(F.countDistinct("_file").alias("n_files"))
-    return ordered.join(files, list(keys)).drop("_file", "_block", "_at")
+    before = F.lag(key).over(Window.partitionBy("_file").orderBy("_row"))
+    late = materialize(narrow.withColumn("_late", before > key).where("_late").select("_file", "_row", "_late"), "late-rows")
+    number = F.xxhash64("_file")
+    spans = narrow.groupBy(*keys).agg(F.min(number).alias("_least"), F.max(number).alias("_most")).where("_least <> _most").select(*keys)
+    several = lookup_join(narrow, materialize(spans, "split-keys"), list(keys)).groupBy(*keys).agg(F.countDistinct("_file").alias("_n"))
+    rows = stored.select("*", *place).dropna(subset=list(keys))
+    found = lookup_join(lookup_join(rows, late, ["_file", "_row"], "left"), materialize(several, "file-counts"), list(keys), "left")
+    others = [c for c in stored.columns if c not in keys]
+    return found.select(*keys, *others, F.col("_late").isNull().alias("in_order"), F.coalesce("_n", F.lit(1)).cast("bigint").alias("n_files"))
 
 
 def sorted_hashes(spark, sf):
