@@ -38,6 +38,13 @@ def test_blocks_meet_in_tiles(spark, monkeypatch):
     assert got == {i: int(9 * distance[i, ::9].argmin()) for i in range(90)}
 
 
+def test_numbered_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a").write_text("x\ny\n")
+    lines = numbered_lines(spark, str(tmp_path))
+    assert "SortMergeJoin" not in _plan(lines)
+    assert [(r.line_no, r.value) for r in lines.orderBy("line_no").collect()] == [(1, "x"), (2, "y")]
+
+
 def test_order_of_a_stored_set_is_found_without_a_shuffle_of_its_rows(spark, tmp_path):
     from tracelake.catalog.written import _in_order
 
