@@ -72,3 +72,11 @@ def test_product_lists_hold_all_labels_of_a_file_in_one_row_a_kind(spark):
     assert sorted((r.hash_type, r.set_labels) for r in got.collect()) == [("md5", ["M/p 1", "M/p 2"]), ("sha1", ["M/p 1", "M/p 2"])]
     lines = known.dump_hashes(known.nsrl_products(files, products, mfgs), 1)
     assert sorted(r.value for r in known.dump_hashes(got, 1).collect()) == sorted(r.value for r in lines.collect())
+
+
+def test_image_readers_send_small_batches(spark):
+    for name, value in (("maxRecordsPerBatch", "10000"), ("maxBytesPerBatch", "67108864b")):
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+    content.extract_content(spark.createDataFrame([], "image string, first_addr bigint, id string, fp string, size bigint, extents array<struct<addr:bigint,offset:bigint,len:bigint>>"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8388608b"
