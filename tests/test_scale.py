@@ -38,6 +38,13 @@ def test_blocks_meet_in_tiles(spark, monkeypatch):
     assert got == {i: int(9 * distance[i, ::9].argmin()) for i in range(90)}
 
 
+def test_tasks_for_heavy_rows_follow_the_table(spark, monkeypatch):
+    stored = session.materialize(spark.range(0, 40000, 1, 1).select("id", F.repeat(F.md5(F.col("id").cast("string")), 4).alias("text")), "rows")
+    assert session.spread(stored, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(session, "SPREAD_BYTES", session.stored_bytes(stored) // 20)
+    assert session.spread(stored, "id").rdd.getNumPartitions() in (20, 21)
+
+
 def test_numbered_lines_are_not_shuffled(spark, tmp_path):
     (tmp_path / "a").write_text("x\ny\n")
     lines = numbered_lines(spark, str(tmp_path))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import text as op
 from ..operators.known import not_known_good
-from ..session import materialize, spread_small
+from ..session import materialize, spread
 from . import views as v
 
 
@@ -15,7 +15,7 @@ def pages(spark, sf) -> DataFrame:
     """Web pages as entries with content; pages whose number ends in 7 are known good."""
     p = v.table(spark, sf, "pages").select("page_id", "html")
     marked = p.select("page_id", F.col("html").cast("binary").alias("content"), (F.col("page_id") % 10 == 7).alias("nsrl"))
-    return spread_small(marked, "page_id")
+    return spread(marked, "page_id")
 
 
 def extract_text(spark, sf):
