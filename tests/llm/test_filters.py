@@ -299,6 +299,50 @@ def test_nothing_behind_the_stop_is_read():
     assert len(lists.best_of_block(-1, query, untouched, 20, floor=10**6)[0]) == 0
 
 
+def test_lists_are_read_once_for_all_queries(monkeypatch):
+    """The steps of reading follow the blocks, not the pairs of a query and a block."""
+    rng = np.random.default_rng(11)
+    data = rng.integers(-30, 31, (800, 16))
+    steps, read = [], lists.Reader.read
+    monkeypatch.setattr(lists.Reader, "read", lambda self, depth: (steps.append(depth), read(self, depth)))
+    best = lists.Best(np.arange(0, 800, 4), data[::4], 5)
+    for start in (0, 400):
+        best.see(lists.SortedLists.of(np.arange(start, start + 400), data[start : start + 400]))
+    assert 2 <= len(steps) <= 12
+    got = best.rows()
+    for q in range(0, 800, 4):
+        one = got[got["query_id"] == q]
+        assert list(zip(one["vec_id"], one["score"])) == _plain_top(q, data[q], range(800), data, 5)
+
+
+def test_queries_of_any_size_read_together(monkeypatch):
+    """Sums of every kind of number, zero queries, ties and repeated ids side by side; floors come from the blocks before."""
+    monkeypatch.setattr(lists, "NUMBERS", tuple((kind, limit, 3) for kind, limit, _ in lists.NUMBERS))
+    monkeypatch.setattr(lists, "CELLS", 40)
+    rng = np.random.default_rng(12)
+    data = rng.integers(-4, 5, (240, 6))
+    data[5::40] *= 2**17
+    ids = rng.integers(0, 200, 240)
+    queries = np.concatenate([data[6:14] * scale for scale in (0, 1, 2**11, 2**30, 2**39)])
+    query_ids = np.concatenate((ids[6:14], np.arange(1000, 1032)))
+    best = lists.Best(query_ids, queries, 6)
+    for start, end in ((0, 3), (3, 100), (100, 170), (170, 240)):
+        best.see(lists.SortedLists.of(ids[start:end], data[start:end]))
+    got = best.rows()
+    found = {}
+    for q, i, s in got.itertuples(index=False):
+        found.setdefault(q, []).append((i, s))
+    distinct = [n for n, q in enumerate(query_ids) if (query_ids == q).sum() == 1]
+    assert len(distinct) > 30 and {int(k) for n in distinct for k in lists.kinds(lists.SortedLists.of(ids, data), queries[n : n + 1])} == {0, 1, 2, 3}
+    for n in distinct:
+        assert found[query_ids[n]] == _plain_top(query_ids[n], queries[n], ids, data, 6)
+
+
+def test_the_least_long_stands_last_in_its_list():
+    block = lists.SortedLists.of([1, 2, 3], [[5], [-(2**63)], [7]])
+    assert [x.tolist() for x in lists.best_of_block(0, np.array([1]), block, 2)] == [[3, 1], [7, 5]]
+
+
 def test_only_scores_beyond_64_bits_are_an_error():
     block = lists.SortedLists.of([1, 2, 3], [[2**40], [5], [-(2**40)]])
     with pytest.raises(OverflowError):

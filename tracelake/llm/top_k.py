@@ -6,8 +6,11 @@ negative, and not at all where it is zero, so every list brings its best contrib
 
 Contributions are counted from the worst value of their list, so none is negative. A candidate's running sum of what was read is then its lower bound,
 and the upper bound adds, for each list that has not shown it yet, what the value read last would give. Lists are read in growing steps. Once a candidate that no list has shown
-cannot reach the k-th best lower bound that the query has, only candidates whose upper bound reaches it stay, and the rest of the lists is read for them alone. A query that
-cannot gain from a block at all reads nothing there. The vectors themselves are not kept.
+cannot reach the k-th best lower bound that the query has, only candidates whose upper bound reaches it are in doubt. While they are many, reading goes on; the rest of the lists
+is added up for a few of them alone. A query that cannot gain from a block at all reads nothing there. The vectors themselves are not kept.
+
+The queries of a block read together: what the lists show in a step is laid out by candidate once, and a product with the components of all queries that are still reading adds it
+to their running sums. Every pair of a query and a block costs some of that, so the work grows with the number of queries times the number of candidates.
 
 Queries and candidates meet in blocks: every block of candidates is sent once to each block of queries. A task keeps the k best of each query over all blocks it
 sees and passes them on at its end; a window keeps the best k of them.
@@ -15,7 +18,7 @@ sees and passes them on at its end; a window keeps the best k of them.
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id, nor candidates whose length differs
 from the query's (each length is searched by itself); with fewer than k candidates all are returned; equal scores go to the smaller id; a repeated id is a candidate as often as
 it occurs, but no row is a candidate for a query with its own id; of rows that repeat a query's id the least vector is the query; other columns are ignored; an empty table gives
-no rows. Very long vectors only make wider blocks. Sums that stay below 2**53 are kept as doubles, below 2**63 as 64-bit integers, others as integers of any
+no rows. Very long vectors only make wider blocks. Sums are kept as numbers that hold them exactly (``NUMBERS``), at last as integers of any
 length, so bounds are always exact; a score among a block's k best that does not fit in a long ends the job with ``OverflowError``.
 """
 
@@ -34,8 +37,12 @@ SCALE = 64
 BLOCK = 2048
 QUERY_BLOCK = 2048
 BLOCKS_PER_TASK = 4
-#: The lists are read to 1/FIRST of their length before the first look at the bounds, then to twice that depth each time.
+#: The lists are read to 1/FIRST of their length before the first look at the bounds, then to twice that depth each time, by a quarter at most.
 FIRST = 16
+#: Kinds of numbers, below what sums they are exact (sums are estimated, so the larger limits keep a distance), and how many queries read a block together.
+NUMBERS = ((np.float32, 2**24, 2048), (np.float64, 2**52, 1024), (np.int64, 2**62, 1024), (object, math.inf, 64))
+#: Cells of lists that are added up at once for candidates in doubt.
+CELLS = 1 << 21
 #: Blocks of queries whose results a task holds at once.
 HELD = 64
 
@@ -61,21 +68,25 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, order: np.ndarray, values: np.ndarray):
         self.ids, self.order, self.values = ids, order, values
         self.top, self.bottom = values[:, 0].copy(), values[:, -1].copy()
-        self._gains: dict[type, tuple[np.ndarray, np.ndarray]] = {}
 
-    def both_ways(self, number: type) -> tuple[np.ndarray, np.ndarray]:
-        """Places, and values counted from the worst, of the lists from the top and then of the same lists from the bottom; made once."""
-        if number not in self._gains:
-            exact = object if number is object else np.int64
-            values, top, bottom = self.values.astype(exact), self.top.astype(exact)[:, None], self.bottom.astype(exact)[:, None]
-            gains = np.concatenate((values - bottom, top - values[:, ::-1])).astype(number)
-            self._gains[number] = np.concatenate((self.order, self.order[:, ::-1])).astype(np.intp), gains
-        return self._gains[number]
+    def gains(self, number: type, start: int, end: int) -> np.ndarray:
+        """Values counted from the worst that the lists show between two depths: of the lists from the top, then of the same lists from the bottom."""
+        exact = object if number is object else np.int64
+        up = self.values[:, start:end].astype(exact) - self.bottom.astype(exact)[:, None]
+        down = self.top.astype(exact)[:, None] - self.values[:, ::-1][:, start:end].astype(exact)
+        return np.concatenate((up, down)).astype(number)
+
+    def by_place(self, number: type, start: int, end: int, shown: np.ndarray | int, other: int) -> np.ndarray:
+        """By list and candidate, what a list shows between two depths, and ``other`` elsewhere."""
+        places = np.concatenate((self.order[:, start:end], self.order[:, ::-1][:, start:end]))
+        found = np.full((len(places), len(self.ids)), other, dtype=number)
+        np.put_along_axis(found, places, shown, axis=1)
+        return found
 
     @classmethod
     def of(cls, ids, vectors) -> SortedLists:
         columns = np.array(list(vectors), dtype=np.int64).T
-        order = np.argsort(-columns, axis=1, kind="stable").astype(np.int32)
+        order = np.argsort(~columns, axis=1, kind="stable").astype(np.int32)
         return cls(np.asarray(ids, dtype=np.int64), order, np.take_along_axis(columns, order, axis=1))
 
     def row(self) -> pd.DataFrame:
@@ -87,83 +98,123 @@ class SortedLists:
         return cls(ids, np.frombuffer(row.places, dtype=np.int32).reshape(row.dims, -1), np.frombuffer(row.listed, dtype=np.int64).reshape(row.dims, -1))
 
 
+def kinds(block: SortedLists, queries: np.ndarray) -> np.ndarray:
+    """For each query the place in ``NUMBERS`` of the first kind that is exact for all its sums over a block."""
+    reach = np.abs(queries.astype(np.float64)) @ (np.abs(block.top.astype(np.float64)) + np.abs(block.bottom.astype(np.float64)))
+    return np.searchsorted([limit for _, limit, _ in NUMBERS], reach, side="right")
+
+
 class Reader:
-    """One query's way through the lists of a block."""
+    """The way of a query, or of several (one a row), through the lists of a block. What a list shows is read once for all of them."""
 
     def __init__(self, block: SortedLists, query: np.ndarray):
         self.block, self.size = block, len(block.ids)
-        self.up, self.down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        factor = np.concatenate((query[self.up], query[self.down]))
-        best = np.concatenate((block.top[self.up], block.bottom[self.down]))
-        worst = np.concatenate((block.bottom[self.up], block.top[self.down]))
-        parts = list(zip(factor.tolist(), best.tolist(), worst.tolist(), strict=True))
-        reach = sum(abs(f) * (abs(b) + abs(w)) for f, b, w in parts)
-        self.number = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
-        self.base = sum(f * w for f, _, w in parts)
-        self.rows = np.concatenate((self.up, self.down + len(query)))
-        self.factor = np.array([abs(f) for f in factor.tolist()], dtype=self.number)
-        self.last = np.array([abs(b - w) for _, b, w in parts], dtype=self.number)
-        self.sums, self.depth = np.zeros(self.size, dtype=self.number), 0
-
-    def _places(self, start: int, end: int) -> np.ndarray:
-        return self.block.both_ways(self.number)[0][self.rows, start:end]
-
-    def _gains(self, start: int, end: int) -> np.ndarray:
-        return self.block.both_ways(self.number)[1][self.rows, start:end]
-
-    def _added(self, places: np.ndarray, amounts: np.ndarray) -> np.ndarray:
-        if self.number is np.float64:
-            return np.bincount(places, weights=amounts, minlength=self.size)
-        out = np.zeros(self.size, dtype=self.number)
-        np.add.at(out, places, amounts)
-        return out
+        self.number = NUMBERS[np.max(kinds(block, query))][0]
+        top, bottom, own = (x.astype(object if self.number is object else np.int64) for x in (block.top, block.bottom, query))
+        # From the top where a component is positive, from the bottom where it is negative.
+        self.factor = np.concatenate((np.maximum(own, 0), np.maximum(-own, 0)), axis=-1).astype(self.number)
+        self.base = np.asarray(np.maximum(own, 0) @ bottom + np.minimum(own, 0) @ top)
+        self.last = np.concatenate((top - bottom, top - bottom)).astype(self.number)
+        self.sums, self.depth = np.zeros((*query.shape[:-1], self.size), dtype=self.number), 0
 
     def read(self, depth: int) -> None:
         """Read all lists on to this depth."""
-        gains = self._gains(self.depth, depth)
-        self.sums += self._added(self._places(self.depth, depth).ravel(), (self.factor[:, None] * gains).ravel())
+        gains = self.block.gains(self.number, self.depth, depth)
+        self.sums = self.sums + self.factor @ self.block.by_place(self.number, self.depth, depth, gains, 0)
         if gains.size:
             self.last = gains[:, -1]
         self.depth = depth
 
-    def outsider(self) -> int:
-        """What a candidate that no list has shown can add at most."""
-        return int((self.factor * self.last).sum()) if self.depth < self.size else 0
+    def outsider(self, depth: int | None = None) -> np.ndarray:
+        """What a candidate that no list has shown can add at most, here or at a depth ahead."""
+        last = self.last if depth is None else self.block.gains(self.number, depth - 1, depth)[:, 0]
+        return self.factor @ (last if (depth or self.depth) < self.size else np.zeros_like(last))
 
-    def upper(self) -> np.ndarray:
+    def upper(self, queries=...) -> np.ndarray:
         """Upper bounds of all candidates, from the lists that have not shown them."""
-        most = self.factor * self.last
-        return self.sums + most.sum() - self._added(self._places(0, self.depth).ravel(), np.repeat(most, self.depth))
-
-    def finish(self, wanted: np.ndarray) -> None:
-        """Read the rest of the lists for the wanted candidates."""
-        places = self._places(self.depth, self.size).ravel()
-        at = np.flatnonzero(wanted[places])
-        gains = self._gains(self.depth, self.size).ravel()[at]
-        self.sums += self._added(places[at], self.factor[at // (self.size - self.depth)] * gains)
+        if self.depth == self.size:
+            return self.sums[queries]
+        return self.sums[queries] + (self.factor[queries] * self.last) @ self.block.by_place(self.number, 0, self.depth, 0, 1)
+
+    def finish(self, queries: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The whole sums of these pairs of a query and a candidate: the rest of the lists is added up for them alone."""
+        sums = self.sums[queries, places]
+        if self.depth < self.size and len(sums):
+            rest = self.block.by_place(self.number, self.depth, self.size, self.block.gains(self.number, self.depth, self.size), 0).T.copy()
+            step = max(1, CELLS // rest.shape[1])
+            for start in range(0, len(sums), step):
+                part = slice(start, start + step)
+                sums[part] += (self.factor[queries[part]] * rest[places[part]]).sum(axis=1)
+        return sums
+
+    def keep(self, queries: np.ndarray) -> None:
+        """Go on with these queries alone."""
+        self.factor, self.sums, self.base = self.factor[queries], self.sums[queries], self.base[queries]
+
+    def least(self, floors: np.ndarray) -> np.ndarray:
+        """Floors of scores as floors of sums. Sums are counted from the worst values, so zero is a floor of all; one beyond the kind of number is beyond all sums too."""
+        if self.number in (np.float32, np.float64):
+            return np.maximum(floors.astype(np.float64) - self.base, 0).astype(self.number)
+        above = [0 if f == -math.inf else max(0, int(f) - int(b)) for f, b in zip(floors, self.base, strict=True)]
+        return np.array([min(a, 2**63 - 1) for a in above] if self.number is np.int64 else above, dtype=self.number)
+
+
+def best_of_blocks(query_ids: np.ndarray, queries: np.ndarray, block: SortedLists, k: int, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries, ids and scores: for each query at most k candidates, best first, all that belong to the k best of the block and reach its floor (an integer or minus infinity)."""
+    reader, n = Reader(block, queries), len(block.ids)
+    base, least, at, own = reader.base, reader.least(floors), np.arange(len(queries)), query_ids[:, None] == block.ids
+    found = [(at[:0], at[:0], reader.sums[:0, 0])]
+
+    def go_on(rows: np.ndarray) -> None:
+        nonlocal least, at, own
+        reader.keep(rows)
+        least, at, own = least[rows], at[rows], own[rows]
+
+    go_on(np.flatnonzero(reader.outsider() >= least))  # the others read nothing here
+    depth = -(-n // FIRST)
+    while len(at):
+        # Where nearly all queries have a floor and could not stop, nobody looks.
+        while depth < n and ((reader.outsider(depth) < least) | (least <= 0)).mean() < 1 / FIRST:
+            depth = _deeper(depth, n)
+        reader.read(min(depth, n))
+        depth = _deeper(reader.depth, n)
+        whole = reader.depth == n
+        loose = np.flatnonzero((reader.outsider() >= least) | whole)
+        if len(loose) and n >= k:
+            sure = np.where(own[loose], -1, reader.sums[loose])
+            least[loose] = np.maximum(least[loose], np.partition(sure, n - k, axis=1)[:, n - k])
+        closed = np.flatnonzero((reader.outsider() < least) | whole)
+        if len(closed):
+            doubt = (reader.upper(closed) >= least[closed, None]) & ~own[closed]
+            few = whole | (doubt.sum(axis=1) <= max(k, n // FIRST))  # where many are in doubt, all lists are read on
+            rows, places = np.nonzero(doubt[few])
+            rows = closed[few][rows]
+            sums = reader.finish(rows, places)
+            can = sums >= least[rows]
+            found.append((at[rows[can]], places[can], sums[can]))
+            go_on(np.setdiff1d(np.arange(len(at)), closed[few]))
+    rows, places, sums = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(block.ids[places], kind="stable")
+    order = order[np.argsort(-sums[order], kind="stable")]
+    order = order[np.argsort(rows[order], kind="stable")]
+    order = order[_ranks(rows[order]) < k]
+    rows, places, sums = rows[order], places[order], sums[order]
+    return rows, block.ids[places], np.array([int(s) + int(b) for s, b in zip(sums, base[rows], strict=True)], dtype=np.int64)
 
 
 def best_of_block(query_id: int, query: np.ndarray, block: SortedLists, k: int, floor: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of at most k candidates: all that belong to the k best of the block and reach ``floor``."""
-    reader, n = Reader(block, query), len(block.ids)
-    able = block.ids != query_id
-    least = floor - reader.base  # sums are counted from the worst values
-    depth = -(-n // FIRST)
-    while reader.outsider() >= least and reader.depth < n:
-        reader.read(min(depth, n))
-        depth = 2 * reader.depth
-        sure = reader.sums[able]
-        if len(sure) >= k:
-            least = max(least, np.partition(sure, len(sure) - k)[len(sure) - k])
-    if reader.depth == 0:
-        return block.ids[:0], np.empty(0, dtype=np.int64)
-    wanted = able & (reader.upper() >= least) if reader.depth < n else able & (reader.sums >= least)
-    if reader.depth < n and wanted.any():
-        reader.finish(wanted)
-    can = np.flatnonzero(wanted & (reader.sums >= least))
-    can = can[np.argsort(block.ids[can], kind="stable")]
-    can = can[np.argsort(-reader.sums[can], kind="stable")][:k]
-    return block.ids[can], np.array([int(s) + reader.base for s in reader.sums[can]], dtype=np.int64)
+    """The same for a single query: ids and scores."""
+    _, ids, scores = best_of_blocks(np.array([query_id]), query[None, :], block, k, np.array([floor], dtype=object))
+    return ids, scores
+
+
+def _deeper(depth: int, n: int) -> int:
+    return min(2 * depth, depth + -(-n // 4))
+
+
+def _ranks(groups: np.ndarray) -> np.ndarray:
+    """Places within each run of equal values, from 0."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups)
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -190,21 +241,26 @@ class Best:
 
     def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         self.query_ids, self.queries, self.k = query_ids, queries, k
-        self.ids = [np.empty(0, dtype=np.int64)] * len(query_ids)
-        self.scores = list(self.ids)
+        self.at = self.ids = self.scores = np.empty(0, dtype=np.int64)
 
     def see(self, block: SortedLists) -> None:
-        for n, query in enumerate(self.queries):
-            floor = int(self.scores[n][-1]) if len(self.scores[n]) == self.k else -math.inf
-            ids, scores = best_of_block(int(self.query_ids[n]), query, block, self.k, floor)
-            if len(ids):
-                ids, scores = np.concatenate((self.ids[n], ids)), np.concatenate((self.scores[n], scores))
-                chosen = np.lexsort((ids, -scores))[: self.k]
-                self.ids[n], self.scores[n] = ids[chosen], scores[chosen]
+        floors = np.full(len(self.queries), -math.inf, dtype=object)
+        last = np.flatnonzero(_ranks(self.at) == self.k - 1)
+        floors[self.at[last]] = self.scores[last]
+        found, kind = [(self.at, self.ids, self.scores)], kinds(block, self.queries)
+        for place, (_, _, together) in enumerate(NUMBERS):
+            rows = np.flatnonzero(kind == place)
+            for start in range(0, len(rows), together):
+                part = rows[start : start + together]
+                at, ids, scores = best_of_blocks(self.query_ids[part], self.queries[part], block, self.k, floors[part])
+                found.append((part[at], ids, scores))
+        at, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((ids, ~scores, at))
+        order = order[_ranks(at[order]) < self.k]
+        self.at, self.ids, self.scores = at[order], ids[order], scores[order]
 
     def rows(self) -> pd.DataFrame:
-        counts = [len(i) for i in self.ids]
-        return pd.DataFrame({"query_id": np.repeat(self.query_ids, counts), "vec_id": np.concatenate(self.ids), "score": np.concatenate(self.scores)})
+        return pd.DataFrame({"query_id": self.query_ids[self.at], "vec_id": self.ids, "score": self.scores})
 
 
 def _search(k: int):
