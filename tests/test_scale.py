@@ -87,3 +87,16 @@ def test_image_readers_send_small_batches(spark):
     content.extract_content(spark.createDataFrame([], "image string, first_addr bigint, id string, fp string, size bigint, extents array<struct<addr:bigint,offset:bigint,len:bigint>>"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1000
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8388608b"
+
+
+def _documents(spark, folder, rows):
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_large_files_takes_every_document_with_a_text(spark, tmp_path):
+    from tracelake.catalog.content import large_files
+
+    sf = _documents(spark, tmp_path, [(7, "seven", "en", "src0"), (502, "even ", "en", "src0"), (1501, "odd", "en", "src0"), (16, "lost", "en", "src0"), (3, "", "en", "src0")])
+    got = {r.entry_id: (r.n, r.matches) for r in large_files(spark, sf).collect()}
+    assert got == {"7": (5, True), "502": (1_200_000, True), "1501": (3, True), "16": (0, False)}
