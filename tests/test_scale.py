@@ -100,3 +100,14 @@ def test_large_files_takes_every_document_with_a_text(spark, tmp_path):
     sf = _documents(spark, tmp_path, [(7, "seven", "en", "src0"), (502, "even ", "en", "src0"), (1501, "odd", "en", "src0"), (16, "lost", "en", "src0"), (3, "", "en", "src0")])
     got = {r.entry_id: (r.n, r.matches) for r in large_files(spark, sf).collect()}
     assert got == {"7": (5, True), "502": (1_200_000, True), "1501": (3, True), "16": (0, False)}
+
+
+def test_file_pattern_hits_tries_the_lines_without_a_literal(spark, tmp_path):
+    from tracelake.catalog.search import file_pattern_hits
+
+    sf = _documents(spark, tmp_path, [(1, "word 12 xyz 3", "en", "src0"), (2, "other", "en", "src0")])
+    got = {(r.doc_id, r.kw): (r.n, r["first"], r["last"]) for r in file_pattern_hits(spark, sf).collect()}
+    assert {k: v for k, v in got.items() if k[1] in ("[0-9]+", "x.z")} == {
+        (1, "[0-9]+"): (2, "word 12 xyz 3", "word 12 xyz 3"), (1, "x.z"): (1, "word 12 xyz 3", "word 12 xyz 3")
+    }
+    assert any("ther" in kw for d, kw in got if d == 2)
