@@ -111,3 +111,59 @@ def test_file_pattern_hits_tries_the_lines_without_a_literal(spark, tmp_path):
         (1, "[0-9]+"): (2, "word 12 xyz 3", "word 12 xyz 3"), (1, "x.z"): (1, "word 12 xyz 3", "word 12 xyz 3")
     }
     assert any("ther" in kw for d, kw in got if d == 2)
+
+
+def _sparse(rng, n, terms, size):
+    """Unit vectors over terms of which low numbers are common."""
+    idx = [np.unique((terms * rng.random(size) ** 3).astype(np.int32)) for _ in range(n)]
+    val = [rng.random(len(i)) + 0.1 for i in idx]
+    return idx, [v / np.sqrt((v**2).sum()) for v in val]
+
+
+def _dense(idx, val, terms):
+    out = np.zeros((len(idx), terms))
+    for i, (x, v) in enumerate(zip(idx, val, strict=True)):
+        out[i, x] = v
+    return out
+
+
+def test_products_are_bounded_by_their_rare_terms(monkeypatch):
+    rng = np.random.default_rng(8)
+    idx, val = _sparse(rng, 500, 3000, 30)
+    idx += [idx[4], np.empty(0, dtype=np.int32), np.array([5000], dtype=np.int32)]
+    val += [val[4], np.empty(0), np.ones(1)]
+    want = _dense(idx, val, 5001) @ _dense(idx[:200], val[:200], 5001).T
+    for places in (cluster.PLACES, 0):
+        monkeypatch.setattr(cluster, "PLACES", places)
+        block = cluster._Block(range(200), idx[:200], val[:200])
+        floor = rng.choice([0.1, 0.35, 0.9, -0.5], len(idx))
+        got = np.full(want.shape, -1.0)
+        for part, at, to, products in block.reaching(idx, val, floor):
+            got[part][at, to] = products
+        wanted = want >= floor[:, None]
+        assert (got >= floor[:, None] - 1e-8)[wanted].all() and abs(got - want)[wanted].max() < 1e-12
+        assert 0.001 < wanted[floor == 0.35].mean() < 0.9
+        best = cluster._BestTwo()
+        state = best.start(np.arange(len(idx)))
+        for at in (0, 100):
+            list(best.meet(0, np.arange(len(idx)), idx, val, state, 0, cluster._Block(range(at, at + 100), idx[at : at + 100], val[at : at + 100])))
+        assert abs(state[0] - np.sort(want, axis=1)[:, :-3:-1]).max() < 1e-12
+        assert (state[1][:500, 0] == want[:500].argmax(axis=1)).all()
+
+
+def test_centres_of_all_terms_are_not_laid_out_for_each_document():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    terms = 60_000
+    idx, val = _sparse(rng, 1000, terms, 100)
+    centres = [np.arange(terms, dtype=np.int32)] * 10, [rng.random(terms) for _ in range(10)]
+    block = cluster._Block(range(10), *centres)
+    tracemalloc.start()
+    got = np.zeros((1000, 10))
+    for part, at, to, products in block.reaching(idx, val, np.full(1000, -np.inf)):
+        got[part][at, to] = products
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # 480 MB if each document had a place for every term
+    assert abs(got - np.array([[(v * c[i]).sum() for c in centres[1]] for i, v in zip(idx, val, strict=True)])).max() < 1e-9
