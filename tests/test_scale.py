@@ -167,3 +167,45 @@ def test_centres_of_all_terms_are_not_laid_out_for_each_document():
     tracemalloc.stop()
     assert peak < 64 << 20  # 480 MB if each document had a place for every term
     assert abs(got - np.array([[(v * c[i]).sum() for c in centres[1]] for i, v in zip(idx, val, strict=True)])).max() < 1e-9
+
+
+def test_order_is_checked_where_rows_lie(spark, tmp_path):
+    import random
+
+    from tracelake.catalog import written
+
+    draw, rows = random.Random(4), []
+    for file in range(4):
+        part = [(draw.choice(["md5", "sha1"]), draw.choice([None, b"\x01", b"\x90", bytes([draw.randrange(256)])]), 1000 * file + i) for i in range(60)]
+        part = sorted(part, key=lambda r: (r[0], r[1] or b"")) if file > 1 else part
+        rows.append(part)
+        spark.createDataFrame(part, "hash_type string, hash binary, v int").coalesce(1).write.mode("append").option("maxRecordsPerFile", 100).parquet(str(tmp_path / "s"))
+    key = lambda r: (r[0], r[1] is not None, r[1] or b"")
+    want = {}
+    for part in rows:
+        for i, r in enumerate(part):
+            if r[1] is not None:
+                want[r[2]] = (not i or key(part[i - 1]) <= key(r), sum(any(key(r) == key(x) for x in p) for p in rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = written._in_order(spark.read.parquet(str(tmp_path / "s")), "hash_type", "hash").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert {r.v: (r.in_order, r.n_files) for r in found} == want
+    spark.range(100, numPartitions=1).selectExpr("id", "id AS v").write.parquet(str(tmp_path / "t"))
+    spark.range(100, 200, numPartitions=1).selectExpr("id", "id AS v").write.mode("append").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).select("id", F.col("_metadata.file_path").alias("_file"))
+    assert written._shared_ranges(stored, ("id",)).isEmpty()
+
+
+def test_sorted_hashes_keep_equal_and_missing_labels(spark, tmp_path):
+    from tracelake import sinks
+
+    files = spark.createDataFrame([(bytearray(b"s"), bytearray(b"m"), bytearray(b"c"), 5, 1)], "sha1 binary, md5 binary, crc32 binary, size bigint, prod_code int")
+    products = spark.createDataFrame([(1, "p", "1", "7"), (1, "p", "1", "7"), (1, None, "1", "7"), (1, "p", "2", "7")], "code int, name string, version string, mfg_code string")
+    mfgs = spark.createDataFrame([("7", "M")], "code string, name string")
+    sinks.write_sorted_hashes(known.product_lists(files, products, mfgs, repeats=True), str(tmp_path / "h"))
+    order = ["hash_type", "hash", "other_hash", "crc32", "filesize", "set_label"]
+    plain = known.nsrl_products(files, products, mfgs).select(*order)
+    got = spark.read.parquet(str(tmp_path / "h")).select(*order)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 8
