@@ -209,3 +209,15 @@ def test_sorted_hashes_keep_equal_and_missing_labels(spark, tmp_path):
     plain = known.nsrl_products(files, products, mfgs).select(*order)
     got = spark.read.parquet(str(tmp_path / "h")).select(*order)
     assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 8
+
+
+def test_context_ends_at_characters_whatever_their_bytes(spark):
+    from tracelake.operators import search
+    from tracelake.sources.patterns import pattern_rows
+
+    texts = [(i * 10 + j, (c * i) + "the" + ("é" * j) + "the" + (c * i)) for i in (0, 1, 19, 20, 21, 79, 81, 500) for j, c in enumerate("aé語😀")]
+    rows = pattern_rows(spark.createDataFrame([(0, "the")], "a long, kw string"))
+    found = search.match_rows(spark.createDataFrame(texts, "id long, text string"), rows, "id", contexts=True)
+    want = {i: [t[max(0, m - 20) : m + 23] for m in (t.index("the"), t.rindex("the"))] for i, t in texts}
+    assert {r.id: r.hits for r in found.collect()} == want
+    assert "-80, 80" in found._jdf.queryExecution().optimizedPlan().toString()
